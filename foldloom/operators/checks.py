@@ -49,44 +49,44 @@ def profile(facts: DataFrame) -> DataFrame:
     )
 
 
-def value_issues(profiles: DataFrame) -> DataFrame:
-    """Keys, empty values, types, JSON and UTF-8 validity."""
-    errors = {
-        "missing_keys": "keys_missing",
-        "empty_text": "text_empty",
-        "empty_label": "label_empty",
-        "text_not_string": "text_not_string",
-        "label_not_string": "label_not_string",
-        "bad_json": "bad_json",
-        "bad_utf8": "bad_utf8",
-    }
-    findings = [_finding(check, "ERROR", F.col(column)) for check, column in errors.items()]
+# Checks that are one count of the profile each, with the column they read.
+VALUE_ERRORS = {
+    "missing_keys": "keys_missing",
+    "empty_text": "text_empty",
+    "empty_label": "label_empty",
+    "text_not_string": "text_not_string",
+    "label_not_string": "label_not_string",
+    "bad_json": "bad_json",
+    "bad_utf8": "bad_utf8",
+}
+
+
+def place_issues(profiles: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Everything that the profile of a split tells: keys, empty values, types, JSON, UTF-8, and its share.
+
+    With ``files``, the places for which a file exists, also splits without a file and splits with a file
+    and no rows. A share is that of a non-empty split among the rows of its rotation.
+    """
+    findings = [_finding(check, "ERROR", F.col(column)) for check, column in VALUE_ERRORS.items()]
     findings.append(_finding("extra_keys", "WARN", F.col("extra_keys")))
-    return _findings(profiles, findings)
-
-
-def share_issues(profiles: DataFrame) -> DataFrame:
-    """Splits whose share of a rotation is off by more than the tolerance. Empty splits do not count."""
-    filled = profiles.where("n_rows > 0")
-    total = F.sum("n_rows").over(Window.partitionBy(*FOLD))
-    percent = 100 * F.col("n_rows") / total
+    percent = 100 * F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy(*FOLD))
     expected = F.coalesce(
         *[F.when(F.col("split") == split, share) for split, share in SHARES.items()], F.lit(SHARES["test"])
     )
-    off = filled.withColumn("_percent", percent).where(F.abs(F.col("_percent") - expected) > TOLERANCE)
+    off = (F.col("n_rows") > 0) & (F.abs(F.col("_percent") - expected) > TOLERANCE)
     shown = F.array(F.format_string("%.1f%%", "_percent"))
-    return _findings(off, [_finding("split_share", "WARN", F.col("n_rows"), detail=shown)])
-
+    findings.append(_finding("split_share", "WARN", F.when(off, F.col("n_rows")), detail=shown))
+    if files is None:
+        return _findings(profiles.withColumn("_percent", percent), findings)
 
-def presence_issues(files: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Splits without a file, and splits with a file and no rows. ``files`` holds the places that exist."""
     splits = F.array(*[F.lit(name) for name in SPLITS])
-    expected = files.select(*FOLD).distinct().withColumn("split", F.explode(splits))
-    absent = expected.join(files, PLACE, "left_anti")
-    empty = expected.join(files, PLACE, "left_semi").join(profiles.where("n_rows > 0"), PLACE, "left_anti")
-    return _findings(absent, [_finding("missing_file", "ERROR", F.lit(1))]).unionByName(
-        _findings(empty, [_finding("empty_split", "ERROR", F.lit(1))])
-    )
+    grid = files.select(*FOLD).distinct().withColumn("split", F.explode(splits))
+    placed = grid.join(files.withColumn("_file", F.lit(True)), PLACE, "left").join(profiles, PLACE, "left")
+    no_file = F.col("_file").isNull()
+    no_rows = ~no_file & (F.coalesce("n_rows", F.lit(0)) == 0)
+    findings.append(_finding("missing_file", "ERROR", no_file.cast("int")))
+    findings.append(_finding("empty_split", "ERROR", no_rows.cast("int")))
+    return _findings(placed.withColumn("_percent", percent), findings)
 
 
 def fold_count_issues(files: DataFrame, n_folds: int = N_FOLDS) -> DataFrame:
@@ -197,15 +197,12 @@ def rotation_issues(texts: DataFrame) -> DataFrame:
 
 def all_issues(facts: DataFrame, files: DataFrame | None = None, n_folds: int = N_FOLDS, examples: bool = True) -> DataFrame:
     """Every check. Without ``files`` a split that has rows is taken to exist."""
-    profiles = profile(facts)
     if files is None:
-        files = profiles.select(*PLACE)
+        files = facts.select(*PLACE).distinct()
     texts, labels = text_presence(facts), label_presence(facts)
     parts = [
-        presence_issues(files, profiles),
+        place_issues(profile(facts), files),
         fold_count_issues(files, n_folds),
-        value_issues(profiles),
-        share_issues(profiles),
         label_issues(labels, examples),
         text_issues(texts, examples),
         rotation_issues(texts),

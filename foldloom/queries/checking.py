@@ -7,6 +7,7 @@ from foldloom.operators.folds import dedup_and_fold
 from foldloom.operators.pools import rotate
 from foldloom.queries.tables import FOLDED_SQL, documents, rotated_sql, table
 from foldloom.sources.pools import parse_lines, pool_rows, record_facts
+from foldloom.storage import stage
 
 SHOWN = ["k", "split", "check", "severity", "n"]
 
@@ -68,7 +69,7 @@ typed AS (
 
 def check_values(spark, sf_dir):
     facts = record_facts(parse_lines(faulty_lines(spark, sf_dir)))
-    return checks.value_issues(checks.profile(facts)).select(SHOWN)
+    return checks.place_issues(checks.profile(facts)).where("check <> 'split_share'").select(SHOWN)
 
 
 def _count_sql(check, severity, condition):
@@ -164,7 +165,7 @@ def check_shares(spark, sf_dir):
         F.concat(F.lit("0"), F.substring("o_orderpriority", 1, 1)).alias("k"), split.alias("split"),
         F.col("o_orderkey").cast("string").alias("text"), F.col("o_orderstatus").alias("label"),
     )
-    issues = checks.share_issues(checks.profile(record_facts(pool_rows(pools))))
+    issues = checks.place_issues(checks.profile(record_facts(pool_rows(pools))))
     return issues.select(*SHOWN, F.array_join("detail", "|").alias("share"))
 
 
@@ -203,8 +204,8 @@ def check_presence(spark, sf_dir):
     )
     files = base.select("task", "corpus", "k", "split").distinct()
     profiles = checks.profile(record_facts(pool_rows(base.where("c_acctbal > 8000"))))
-    issues = checks.presence_issues(files, profiles).unionByName(checks.fold_count_issues(files))
-    return issues.select("corpus", *SHOWN)
+    issues = checks.place_issues(profiles, files).unionByName(checks.fold_count_issues(files))
+    return issues.where("check <> 'split_share'").select("corpus", *SHOWN)
 
 
 CHECK_PRESENCE_SQL = """
@@ -228,7 +229,7 @@ def _status(spark, sf_dir):
     names = [F.lit("clean").alias("task"), F.lit("documents").alias("corpus")]
     clean = rotate(dedup_and_fold(documents(spark, sf_dir)).select(*names, "text", "label", "fold"))
     pools = [p.select("task", "corpus", "k", "split", "text", "label") for p in (raw, clean, role_pools(spark, sf_dir))]
-    facts = record_facts(pool_rows(pools[0].unionByName(pools[1]).unionByName(pools[2])))
+    facts = stage(record_facts(pool_rows(pools[0].unionByName(pools[1]).unionByName(pools[2]))))
     files = facts.select("task", "corpus", "k", "split").distinct()
     issues = checks.all_issues(facts, files, examples=False)
     return checks.corpus_status(checks.registry_table(spark, REGISTRY), issues, files)
@@ -246,7 +247,8 @@ per_text AS (
   SELECT task, corpus, k, text, count(DISTINCT split) AS splits, count(*) AS copies, bool_or(split = 'test') AS tested
   FROM all_pools GROUP BY ALL),
 per_split AS (
-  SELECT task, corpus, k, split, count(*) AS n, sum(count(*)) OVER (PARTITION BY task, corpus, k) AS total FROM all_pools GROUP BY ALL),
+  SELECT *, sum(n) OVER (PARTITION BY task, corpus, k) AS total
+  FROM (SELECT task, corpus, k, split, count(*) AS n FROM all_pools GROUP BY task, corpus, k, split)),
 per_label AS (
   SELECT task, corpus, k, label, bool_or(split = 'train') AS tr, bool_or(split = 'valid') AS va, bool_or(split = 'test') AS te
   FROM all_pools GROUP BY ALL),
@@ -281,7 +283,7 @@ def check_clean_folds(spark, sf_dir):
     """All checks over deduped and folded documents: only warnings about shares or labels may come."""
     names = [F.lit("clean").alias("task"), F.lit("documents").alias("corpus")]
     pools = rotate(dedup_and_fold(documents(spark, sf_dir), "stratified").select(*names, "text", "label", "fold"))
-    facts = record_facts(pool_rows(pools))
+    facts = stage(record_facts(pool_rows(pools)))
     issues = checks.all_issues(facts, examples=False)
     return issues.agg(
         F.count_if(F.col("severity") == "ERROR").alias("n_errors"),
