@@ -79,7 +79,9 @@ def scan_delimited(
     encoding = choose_encoding(spark, path, source)
     names = header(spark, path, source, sep, encoding)
     fields = [T.StructField(name, T.StringType()) for name in [*names, BAD_RECORD]]
-    raw = spark.read.schema(T.StructType(fields)).csv(
+    # Records are counted field by field only if the parser keeps all columns.
+    reader = spark.read.schema(T.StructType(fields)).option("columnPruning", False)
+    raw = reader.csv(
         path, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_RECORD, **_options(source, sep, encoding)
     )
     bad = F.col(f"`{BAD_RECORD}`")
