@@ -69,7 +69,7 @@ def place_issues(profiles: DataFrame, files: DataFrame | None = None) -> DataFra
     """
     findings = [_finding(check, "ERROR", F.col(column)) for check, column in VALUE_ERRORS.items()]
     findings.append(_finding("extra_keys", "WARN", F.col("extra_keys")))
-    percent = 100 * F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy(*FOLD))
+    percent = F.try_divide(100 * F.col("n_rows"), F.sum("n_rows").over(Window.partitionBy(*FOLD)))
     expected = F.coalesce(
         *[F.when(F.col("split") == split, share) for split, share in SHARES.items()], F.lit(SHARES["test"])
     )
