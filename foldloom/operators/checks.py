@@ -69,15 +69,17 @@ def place_issues(profiles: DataFrame, files: DataFrame | None = None) -> DataFra
     """
     findings = [_finding(check, "ERROR", F.col(column)) for check, column in VALUE_ERRORS.items()]
     findings.append(_finding("extra_keys", "WARN", F.col("extra_keys")))
-    percent = F.try_divide(100 * F.col("n_rows"), F.sum("n_rows").over(Window.partitionBy(*FOLD)))
+    total = F.sum("n_rows").over(Window.partitionBy(*FOLD))
     expected = F.coalesce(
         *[F.when(F.col("split") == split, share) for split, share in SHARES.items()], F.lit(SHARES["test"])
     )
-    off = (F.col("n_rows") > 0) & (F.abs(F.col("_percent") - expected) > TOLERANCE)
-    shown = F.array(F.format_string("%.1f%%", "_percent"))
+    # A share of rows p/total is compared without a division, which an empty rotation would make undefined.
+    distance = F.abs(100 * F.col("n_rows") - expected * F.col("_total"))
+    off = (F.col("n_rows") > 0) & (distance > TOLERANCE * F.col("_total"))
+    shown = F.array(F.format_string("%d of %d rows, expected %d%%", "n_rows", "_total", expected))
     findings.append(_finding("split_share", "WARN", F.when(off, F.col("n_rows")), detail=shown))
     if files is None:
-        return _findings(profiles.withColumn("_percent", percent), findings)
+        return _findings(profiles.withColumn("_total", total), findings)
 
     splits = F.array(*[F.lit(name) for name in SPLITS])
     grid = files.select(*FOLD).distinct().withColumn("split", F.explode(splits))
@@ -86,7 +88,7 @@ def place_issues(profiles: DataFrame, files: DataFrame | None = None) -> DataFra
     no_rows = ~no_file & (F.coalesce("n_rows", F.lit(0)) == 0)
     findings.append(_finding("missing_file", "ERROR", no_file.cast("int")))
     findings.append(_finding("empty_split", "ERROR", no_rows.cast("int")))
-    return _findings(placed.withColumn("_percent", percent), findings)
+    return _findings(placed.withColumn("_total", total), findings)
 
 
 def fold_count_issues(files: DataFrame, n_folds: int = N_FOLDS) -> DataFrame:
@@ -142,13 +144,15 @@ def _with_examples(issues: DataFrame, hits: DataFrame, order: str, shown: str) -
     return joined.select(*ISSUE)
 
 
-def text_presence(facts: DataFrame) -> DataFrame:
+def text_presence(facts: DataFrame, examples: bool = True) -> DataFrame:
     """One row per rotation and text with its copies in each split.
 
-    This is the only shuffle of the duplicate, leakage and rotation checks. Copies collapse
-    before it, so a text that is everywhere costs no more than another.
+    This is the only shuffle of the duplicate and leakage checks. Copies collapse before it, so a text that
+    is everywhere costs no more than another. The example depends on the digest, so to carry
+    it along as a key does not change the groups.
     """
-    return facts.where("NOT bad_json").groupBy(*FOLD, "digest", "example").agg(
+    text = ["digest", "example"] if examples else ["digest"]
+    return facts.where("NOT bad_json").groupBy(*FOLD, *text).agg(
         *[F.count_if(F.col("split") == split).alias(f"in_{split}") for split in SPLITS]
     )
 
@@ -176,15 +180,14 @@ def text_issues(texts: DataFrame, examples: bool = True) -> DataFrame:
     return _with_examples(issues, hits, "digest", "example")
 
 
-def rotation_issues(texts: DataFrame) -> DataFrame:
+def rotation_issues(facts: DataFrame) -> DataFrame:
     """Texts that are in the test sets of two rotations, per pair of rotations.
 
-    Texts are counted by the set of rotations that test them, and only those few sets are
-    taken apart into pairs.
+    Only test splits are read. Texts are counted by the set of rotations that test them, and only those
+    few sets are taken apart into pairs.
     """
-    tested = texts.where("in_test > 0").groupBy("task", "corpus", "digest").agg(
-        F.sort_array(F.collect_set("k")).alias("ks")
-    )
+    tests = facts.where("NOT bad_json AND split = 'test'").select(*FOLD, "digest").distinct()
+    tested = tests.groupBy("task", "corpus", "digest").agg(F.sort_array(F.collect_set("k")).alias("ks"))
     sets = tested.where(F.size("ks") > 1).groupBy("task", "corpus", "ks").agg(F.count("*").alias("_n"))
     pairs = sets.select("*", F.posexplode("ks").alias("_i", "_first")).select(
         "*", F.explode(F.slice(F.col("ks"), F.col("_i") + 2, F.size("ks"))).alias("_second")
@@ -199,13 +202,12 @@ def all_issues(facts: DataFrame, files: DataFrame | None = None, n_folds: int =
     """Every check. Without ``files`` a split that has rows is taken to exist."""
     if files is None:
         files = facts.select(*PLACE).distinct()
-    texts, labels = text_presence(facts), label_presence(facts)
     parts = [
         place_issues(profile(facts), files),
         fold_count_issues(files, n_folds),
-        label_issues(labels, examples),
-        text_issues(texts, examples),
-        rotation_issues(texts),
+        label_issues(label_presence(facts), examples),
+        text_issues(text_presence(facts, examples), examples),
+        rotation_issues(facts),
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -90,7 +90,7 @@ CHECK_VALUES_SQL = f"WITH {FAULTY_LINES_SQL} SELECT '01' AS k, * FROM (" + " UNI
 
 
 def check_duplicates(spark, sf_dir):
-    issues = checks.text_issues(checks.text_presence(faulty_facts(spark, sf_dir)), examples=False)
+    issues = checks.text_issues(checks.text_presence(faulty_facts(spark, sf_dir), examples=False), examples=False)
     return issues.where("check = 'duplicate_texts'").select(SHOWN)
 
 
@@ -166,25 +166,26 @@ def check_shares(spark, sf_dir):
         F.col("o_orderkey").cast("string").alias("text"), F.col("o_orderstatus").alias("label"),
     )
     issues = checks.place_issues(checks.profile(record_facts(pool_rows(pools))))
-    return issues.select(*SHOWN, F.array_join("detail", "|").alias("share"))
+    return issues.select(*SHOWN, F.array_join("detail", "|").alias("detail"))
 
 
 SHARES_SQL = """
 sizes AS (SELECT k, split, count(*) AS n FROM pools GROUP BY k, split),
-shares AS (SELECT *, 100 * n / sum(n) OVER (PARTITION BY k) AS percent, CASE split WHEN 'train' THEN 60 ELSE 20 END AS expected FROM sizes)
+shares AS (SELECT *, sum(n) OVER (PARTITION BY k) AS total, 100 * n / sum(n) OVER (PARTITION BY k) AS percent, CASE split WHEN 'train' THEN 60 ELSE 20 END AS expected FROM sizes)
 """
 CHECK_SHARES_SQL = f"""
 WITH pools AS (
   SELECT '0' || substr(o_orderpriority, 1, 1) AS k,
          CASE o_orderstatus WHEN 'O' THEN 'train' WHEN 'F' THEN 'valid' ELSE 'test' END AS split FROM orders),
 {SHARES_SQL}
-SELECT k, split, 'split_share' AS "check", 'WARN' AS severity, n, format('{{:.1f}}%', percent) AS share
+SELECT k, split, 'split_share' AS "check", 'WARN' AS severity, n,
+       n || ' of ' || total || ' rows, expected ' || expected || '%' AS detail
 FROM shares WHERE abs(percent - expected) > 5
 """
 
 
 def check_rotations(spark, sf_dir):
-    return checks.rotation_issues(checks.text_presence(faulty_facts(spark, sf_dir))).select(SHOWN)
+    return checks.rotation_issues(faulty_facts(spark, sf_dir)).select(SHOWN)
 
 
 ROTATIONS_SQL = """

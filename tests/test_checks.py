@@ -81,7 +81,7 @@ def test_shares_are_off_beyond_five_points(spark, sizes, off):
 
 def test_test_sets_of_two_rotations(spark):
     rows = [(k, "test", t, "a") for k, texts in {"01": "xyz", "02": "yz", "03": "z", "05": "q"}.items() for t in texts]
-    issues = checks.rotation_issues(checks.text_presence(pools(spark, rows)))
+    issues = checks.rotation_issues(pools(spark, rows))
     assert {(r.k, r.n) for r in issues.collect()} == {("01,02", 2), ("01,03", 1), ("02,03", 1)}
 
 
