@@ -3,14 +3,13 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What counts as a number. Spark's own cast also takes '5d' and '5f'.
-FINITE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+# Fixed value: what counts as a number. Spark's own cast also takes '5d', '5f' and hexadecimal.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+|(?i:inf(inity)?))([eE][+-]?\d+)?\s*$"
 
 
 def to_number(value: Column) -> Column:
     """The value as a double, null when it is not a number. Infinity is a number here."""
-    return F.when(value.rlike(FINITE) | value.rlike(INFINITE), value.try_cast("double"))
+    return F.when(value.rlike(NUMBER), value.try_cast("double"))
 
 
 def to_integer(number: Column) -> Column:

@@ -180,7 +180,7 @@ FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_regionkey <> 0
 
 def stars_polarity(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity")
-    stars = to_integer(to_number((F.col("l_quantity") / 10).cast("string")))
+    stars = to_integer(F.col("l_quantity") / 10)
     return lines.select("l_orderkey", "l_linenumber", star_polarity(stars).alias("label")).where("label IS NOT NULL")
 
 
