@@ -31,7 +31,7 @@ def strip(text: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """True for an empty text or one of white space only. A trim from the left stops at the first other character."""
-    return F.length(F.ltrim(text, F.lit(WHITE_SPACE))) == 0
+    return F.ltrim(text, F.lit(WHITE_SPACE)) == ""
 
 
 def na_to_null(field: Column) -> Column:

@@ -32,11 +32,11 @@ def tag_rows(raw: DataFrame, spec: CorpusSpec) -> DataFrame:
     mapping = dict(spec.labels or {})
     rejects = [("null_text", text.isNull())]
     if spec.drop_blank_text:
-        rejects.append(("blank_text", F.length(text) == 0))
+        rejects.append(("blank_text", text == ""))
     rejects.append(("null_label", raw_label.isNull()))
     if spec.label_rule == "first_item":
         label = first_item(raw_label)
-        rejects.append(("blank_label", F.length(label) == 0))
+        rejects.append(("blank_label", label == ""))
     elif spec.label_rule in ("strict_integer", "lenient_integer"):
         number = to_integer(to_number(raw_label))
         reason = "not_an_integer" if spec.label_rule == "strict_integer" else "not_a_number"

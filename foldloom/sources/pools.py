@@ -4,7 +4,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldloom.functions.json import as_string, is_falsy, kind
+from foldloom.functions.json import is_falsy, kind
 from foldloom.functions.text import is_blank, text_digest
 
 PLACE = ["task", "corpus", "k", "split"]
@@ -63,25 +63,38 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+# What ``schema_of_variant`` says of a sound line.
+SOUND = "OBJECT<label: STRING, text: STRING>"
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """The facts that the checks need about every line; see ``record_facts`` for the columns.
 
-    A line is parsed once, as VARIANT, because the checks look at JSON types and key names.
+    A line is parsed once, as VARIANT, because the checks look at JSON types and key names. The shape of
+    a sound line answers all of them at once; only other lines are looked at key by key.
+    A line that is no JSON object counts as a bad line.
     """
-    parsed = lines.withColumn("_line", F.try_parse_json("value"))
-    # A line that is no object at all counts as a bad line.
-    is_object = F.schema_of_variant("_line").startswith("OBJECT")
-    good = F.coalesce(F.is_valid_utf8("value") & is_object, F.lit(False))
-    value = {name: F.try_variant_get("_line", f"$.{name}", "variant") for name in ("text", "label")}
-    return parsed.select(
-        *PLACE,
-        (~F.is_valid_utf8("value")).alias("bad_utf8"),
-        (~good).alias("bad_json"),
-        *[F.when(good, as_string(value[name])).alias(name) for name in value],
-        *[F.when(good, kind(value[name])).alias(f"{name}_kind") for name in value],
-        *[F.when(good, is_falsy(value[name])).alias(f"{name}_falsy") for name in value],
-        F.when(good, F.json_object_keys("value")).alias("keys"),
+    parsed = lines.select(
+        *PLACE, "value", F.try_parse_json("value").alias("_line"), F.is_valid_utf8("value").alias("_utf8")
+    )
+    strings = [F.try_variant_get("_line", f"$.{name}", "string").alias(f"_{name}") for name in ("text", "label")]
+    shaped = parsed.select("*", F.schema_of_variant("_line").alias("_shape"), *strings)
+    good = F.coalesce(F.col("_utf8") & F.col("_shape").startswith("OBJECT"), F.lit(False))
+    sound = F.coalesce(F.col("_utf8") & (F.col("_shape") == SOUND), F.lit(False))
+    rated = shaped.select("*", good.alias("_good"), sound.alias("_sound"))
+    columns = [(~F.col("_utf8")).alias("bad_utf8"), (~F.col("_good")).alias("bad_json")]
+    for name in ("text", "label"):
+        string = F.col(f"_{name}")
+        value = F.try_variant_get("_line", f"$.{name}", "variant")
+        columns += [
+            F.when(F.col("_good"), string).alias(name),
+            F.when(F.col("_sound"), "STRING").when(F.col("_good"), kind(value)).alias(f"{name}_kind"),
+            F.when(F.col("_sound"), string == "").when(F.col("_good"), is_falsy(value)).alias(f"{name}_falsy"),
+        ]
+    keys = F.when(F.col("_sound"), F.array(F.lit("text"), F.lit("label"))).when(
+        F.col("_good"), F.json_object_keys("value")
     )
+    return rated.select(*PLACE, *columns, keys.alias("keys"))
 
 
 def pool_rows(pools: DataFrame) -> DataFrame:
@@ -93,7 +106,7 @@ def pool_rows(pools: DataFrame) -> DataFrame:
         "text",
         "label",
         *[F.when(F.col(name).isNull(), "-").otherwise("STRING").alias(f"{name}_kind") for name in ("text", "label")],
-        *[(F.coalesce(F.length(name), F.lit(0)) == 0).alias(f"{name}_falsy") for name in ("text", "label")],
+        *[(F.coalesce(name, F.lit("")) == "").alias(f"{name}_falsy") for name in ("text", "label")],
         F.array(F.lit("text"), F.lit("label")).alias("keys"),
     )
 
