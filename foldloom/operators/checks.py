@@ -61,6 +61,12 @@ VALUE_ERRORS = {
 }
 
 
+def expected_places(files: DataFrame) -> DataFrame:
+    """Every split of the rotations that have any file."""
+    splits = F.array(*[F.lit(name) for name in SPLITS])
+    return files.select(*FOLD).distinct().withColumn("split", F.explode(splits))
+
+
 def place_issues(profiles: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Everything that the profile of a split tells: keys, empty values, types, JSON, UTF-8, and its share.
 
@@ -81,9 +87,7 @@ def place_issues(profiles: DataFrame, files: DataFrame | None = None) -> DataFra
     if files is None:
         return _findings(profiles.withColumn("_total", total), findings)
 
-    splits = F.array(*[F.lit(name) for name in SPLITS])
-    grid = files.select(*FOLD).distinct().withColumn("split", F.explode(splits))
-    placed = grid.join(files.withColumn("_file", F.lit(True)), PLACE, "left").join(profiles, PLACE, "left")
+    placed = expected_places(files).join(files.withColumn("_file", F.lit(True)), PLACE, "left").join(profiles, PLACE, "left")
     no_file = F.col("_file").isNull()
     no_rows = ~no_file & (F.coalesce("n_rows", F.lit(0)) == 0)
     findings.append(_finding("missing_file", "ERROR", no_file.cast("int")))

@@ -1,13 +1,22 @@
 """Writing pools and fold tables."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from foldloom.operators.folds import N_FOLDS
 from foldloom.operators.pools import rotate
 
 
-def corpus_folder(root: str, task: str, corpus: str) -> str:
-    return f"{root.rstrip('/')}/task={task}/corpus={corpus}"
+def corpus_folder(root: str, task: str, corpus: str, layout: str = "hive") -> str:
+    """Where the pools of a corpus are, as hive partitions or as plain folders."""
+    if layout == "hive":
+        return f"{root.rstrip('/')}/task={task}/corpus={corpus}"
+    return f"{root.rstrip('/')}/{task}/{corpus}/few_shot"
+
+
+def pool_folder(root: str, task: str, corpus: str, k: str, split: str, layout: str = "hive") -> str:
+    folder = corpus_folder(root, task, corpus, layout)
+    return f"{folder}/k={k}/split={split}" if layout == "hive" else f"{folder}/{k}/{split}.jsonl"
 
 
 def write_pools(
@@ -36,3 +45,17 @@ def write_fold_table(folded: DataFrame, root: str, task: str, corpus: str) -> st
         "fold"
     ).parquet(folder)
     return folder
+
+
+def write_few_shot_tree(stored: DataFrame, root: str, task: str, corpus: str, n_folds: int = N_FOLDS) -> str:
+    """Replace the pools of one corpus by ``few_shot/{kk}/{split}.jsonl``, each of them a folder of lines.
+
+    ``stored`` is a fold table read back: every pool is a scan of its folds alone, without shuffle or sort.
+    """
+    for k in range(1, n_folds + 1):
+        following = k % n_folds + 1
+        rest = [fold for fold in range(1, n_folds + 1) if fold not in (k, following)]
+        for split, folds in (("test", [k]), ("valid", [following]), ("train", rest)):
+            pool = stored.where(F.col("fold").isin(folds)).select("text", "label")
+            pool.write.mode("overwrite").json(pool_folder(root, task, corpus, f"{k:02d}", split, "few_shot"))
+    return corpus_folder(root, task, corpus, "few_shot")

@@ -11,10 +11,10 @@ from foldloom.functions.text import SEED
 from foldloom.operators.cleaning import FATAL, drop_failed_corpora, kept_rows, tag_rows
 from foldloom.operators.dedup import with_order_key
 from foldloom.operators.folds import N_FOLDS, dedup_and_fold
-from foldloom.operators.sinks import write_pools
+from foldloom.operators.sinks import write_few_shot_tree, write_fold_table, write_pools
 from foldloom.plans.spec import CorpusSpec
 from foldloom.sources.inputs import scan_inputs
-from foldloom.storage import stage
+from foldloom.storage import new_folder, stage
 
 STATUS = "task string, corpus string, status string, rows_in bigint, rows_kept bigint"
 
@@ -56,7 +56,13 @@ def build_corpora(
 
 
 def run_corpus(
-    spark: SparkSession, spec: CorpusSpec, paths: Sequence[str], root: str, seed: int = SEED, n_folds: int = N_FOLDS
+    spark: SparkSession,
+    spec: CorpusSpec,
+    paths: Sequence[str],
+    root: str,
+    seed: int = SEED,
+    n_folds: int = N_FOLDS,
+    layout: str = "hive",
 ) -> tuple:
     """Scan, clean, gate, fold and write one corpus; a corpus that fails leaves its old pools alone.
 
@@ -76,7 +82,12 @@ def run_corpus(
     for reason, verdict in FATAL.items():
         status = verdict if counts.get(reason) else status
     if status == "OK":
-        write_pools(fold_corpus(kept_rows(tagged), spec, seed, n_folds), root, spec.task, spec.corpus, n_folds)
+        folded = fold_corpus(kept_rows(tagged), spec, seed, n_folds)
+        if layout == "hive":
+            write_pools(folded, root, spec.task, spec.corpus, n_folds)
+        else:
+            stored = spark.read.parquet(write_fold_table(folded, new_folder(spark), spec.task, spec.corpus))
+            write_few_shot_tree(stored, root, spec.task, spec.corpus, n_folds)
     return spec.task, spec.corpus, status, sum(counts.values()), kept
 
 
@@ -87,6 +98,7 @@ def run_corpora(
     root: str,
     seed: int = SEED,
     n_folds: int = N_FOLDS,
+    layout: str = "hive",
     at_once: int = 4,
 ) -> DataFrame:
     """Every corpus of the list as jobs of one session, a few at once, and a status row for each.
@@ -102,7 +114,7 @@ def run_corpora(
 
     def run(spec: CorpusSpec) -> tuple:
         try:
-            return run_corpus(spark, spec, paths(spec), root, seed, n_folds)
+            return run_corpus(spark, spec, paths(spec), root, seed, n_folds, layout)
         except Exception as error:
             return spec.task, spec.corpus, f"ERROR: {type(error).__name__}: {error}"[:300], 0, 0
 

@@ -5,10 +5,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldloom.operators.checks import all_issues, corpus_status, gate, registry_table, status_summary
+from foldloom.operators.checks import all_issues, corpus_status, expected_places, gate, registry_table, status_summary
 from foldloom.operators.folds import N_FOLDS
-from foldloom.operators.sinks import corpus_folder
-from foldloom.sources.pools import folder_exists, parse_lines, record_facts, scan_files, scan_lines
+from foldloom.operators.sinks import corpus_folder, pool_folder
+from foldloom.sources.pools import PLACE, folder_exists, parse_lines, record_facts, scan_files, scan_lines
 from foldloom.storage import stage
 
 
@@ -20,10 +20,6 @@ class Validation:
     gate: DataFrame
 
 
-def _plain_folder(root: str, task: str, corpus: str) -> str:
-    return f"{root.rstrip('/')}/{task}/{corpus}/few_shot"
-
-
 def validate_tree(
     spark: SparkSession,
     root: str,
@@ -34,11 +30,15 @@ def validate_tree(
     """All checks over a tree. Lines are parsed once; the checks read the staged facts."""
     facts = stage(record_facts(parse_lines(scan_lines(spark, root, layout))))
     files = stage(scan_files(spark, root, layout))
+    # Files without a byte are in no scan, so the places that lack rows are looked up: three per rotation at most.
+    unseen = [tuple(row) for row in expected_places(files).join(files, PLACE, "left_anti").select(PLACE).collect()]
+    hollow = [place for place in unseen if folder_exists(spark, pool_folder(root, *place, layout))]
+    if hollow:
+        files = files.unionByName(spark.createDataFrame(hollow, files.schema))
     registry = registry_table(spark, corpora)
     # Which registered corpora have no pools: a bounded list, one row per corpus.
     absent = [tuple(row) for row in registry.join(files, ["task", "corpus"], "left_anti").collect()]
-    folder = corpus_folder if layout == "hive" else _plain_folder
-    empty = [pair for pair in absent if folder_exists(spark, folder(root, *pair))]
+    empty = [pair for pair in absent if folder_exists(spark, corpus_folder(root, *pair, layout))]
     folders = registry_table(spark, empty) if empty else None
     issues = stage(all_issues(facts, files, n_folds).join(registry, ["task", "corpus"], "left_semi"))
     status = corpus_status(registry, issues, files, folders)

@@ -9,9 +9,10 @@ from foldloom.functions.text import is_blank, text_digest
 
 PLACE = ["task", "corpus", "k", "split"]
 
-# The two folder layouts, hive partitions and {task}/{corpus}/few_shot/{kk}/{split}.jsonl.
+# The two folder layouts, hive partitions and {task}/{corpus}/few_shot/{kk}/{split}.jsonl, where
+# the last is a file or a folder of files.
 HIVE_PATH = r"/task=([^/]+)/corpus=([^/]+)/k=([^/]+)/split=([^/]+)/[^/]+$"
-PLAIN_PATH = r"/([^/]+)/([^/]+)/few_shot/([^/]+)/([^/]+)\.jsonl$"
+PLAIN_PATH = r"/([^/]+)/([^/]+)/few_shot/([^/]+)/([^/]+)\.jsonl(?:/[^/]+)?$"
 
 
 def _placed(df: DataFrame, layout: str) -> DataFrame:
@@ -34,7 +35,7 @@ def scan_lines(spark: SparkSession, root: str, layout: str = "hive") -> DataFram
     else:
         lines = _placed(
             spark.read.option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.jsonl")
+            .option("pathGlobFilter", "*.json*")
             .text(root)
             .select("value", F.col("_metadata.file_path").alias("_path")),
             layout,

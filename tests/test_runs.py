@@ -6,7 +6,7 @@ import pytest
 from foldloom.operators.dedup import with_order_key
 from foldloom.operators.folds import dedup_and_fold
 from foldloom.operators.pools import rotate
-from foldloom.operators.sinks import write_fold_table, write_pools
+from foldloom.operators.sinks import write_few_shot_tree, write_fold_table, write_pools
 from foldloom.plans.corpus import failed_count, run_corpora
 from foldloom.plans.registry import BY_NAME, SPECS
 from foldloom.plans.validation import validate_tree
@@ -152,3 +152,24 @@ def test_seed_changes_the_folds(spark):
     df = spark.createDataFrame([(i, f"t{i}", "a") for i in range(50)], "row_id bigint, text string, label string")
     folds = [{r.text: r.fold for r in dedup_and_fold(with_order_key(df, seed)).collect()} for seed in (42, 42, 43)]
     assert folds[0] == folds[1] != folds[2]
+
+
+def test_plain_layout(spark, tmp_path):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    spec = BY_NAME["IntentPTCorpus"]
+    write_raw(spark, raw, spec)
+    status = run_corpora(spark, [spec], str(raw), str(out), layout="few_shot")
+    assert [r.status for r in status.collect()] == ["OK"]
+    result = validate_tree(spark, str(out), [("intent", "IntentPTCorpus"), ("intent", "none")], layout="few_shot")
+    assert {r.corpus: r.status for r in result.status.collect()} == {"IntentPTCorpus": "OK", "none": "MISSING"}
+    sizes = Counter((r.k, r.split) for r in scan_lines(spark, str(out), "few_shot").collect())
+    assert sizes == {(f"{k:02d}", s): n for k in range(1, 6) for s, n in (("train", 18), ("valid", 6), ("test", 6))}
+
+
+def test_plain_layout_keeps_empty_splits_as_files(spark, make_rows, tmp_path):
+    stored = spark.read.parquet(write_fold_table(dedup_and_fold(make_rows([(1, "a", "x"), (2, "b", "x")])), str(tmp_path / "f"), "t", "c"))
+    write_few_shot_tree(stored, str(tmp_path / "out"), "t", "c")
+    issues = validate_tree(spark, str(tmp_path / "out"), [("t", "c")], layout="few_shot").issues
+    checks = Counter(r.check for r in issues.collect())
+    # Folds 3 to 5 are empty: as test set in three rotations, as valid set in three, as train set in the first.
+    assert checks["empty_split"] == 7 and "missing_file" not in checks
