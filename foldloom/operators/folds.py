@@ -170,6 +170,12 @@ def dedup_and_fold(
     return apply_limits(survivors, fold_limits(keys, within, None, n_folds, fits), within, n_folds, fits)
 
 
+def has_stratum_for_all_folds(rows: DataFrame, stratum: str = "label", n_folds: int = N_FOLDS) -> bool:
+    """Whether any class can be spread over all folds. Reads one number."""
+    sizes = rows.groupBy(stratum).agg(F.count("*").alias("n"))
+    return (sizes.agg(F.max("n")).first()[0] or 0) >= n_folds
+
+
 def small_strata(rows: DataFrame, within: Sequence[str] = (), stratum: str = "label", n_folds: int = N_FOLDS) -> DataFrame:
     """Classes with fewer rows than folds, as WARN; FAIL when that holds for every class of the group."""
     sizes = rows.groupBy(*within, stratum).agg(F.count("*").alias("n"))

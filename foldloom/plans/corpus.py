@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from foldloom.functions.text import SEED
 from foldloom.operators.cleaning import FATAL, drop_failed_corpora, kept_rows, tag_rows
-from foldloom.operators.dedup import with_order_key
-from foldloom.operators.folds import N_FOLDS, dedup_and_fold
+from foldloom.operators.dedup import dedup_first, with_order_key
+from foldloom.operators.folds import N_FOLDS, dedup_and_fold, has_stratum_for_all_folds
 from foldloom.operators.sinks import write_few_shot_tree, write_fold_table, write_pools
 from foldloom.plans.spec import CorpusSpec
 from foldloom.sources.inputs import scan_inputs
+from foldloom.sources.pools import folder_exists
 from foldloom.storage import new_folder, stage
 
 STATUS = "task string, corpus string, status string, rows_in bigint, rows_kept bigint"
@@ -71,7 +72,8 @@ def run_corpus(
     """
     raw = scan_inputs(spark, spec, paths)
     if raw is None:
-        return spec.task, spec.corpus, "NO_INPUT", 0, 0
+        status = "MISSING_COLUMNS" if any(folder_exists(spark, path) for path in paths) else "NO_INPUT"
+        return spec.task, spec.corpus, status, 0, 0
     tagged = stage(with_order_key(tag_rows(raw, spec), seed))
     counts = {
         row["reject_reason"]: row["n"]
@@ -81,8 +83,12 @@ def run_corpus(
     status = "OK" if kept else "EMPTY"
     for reason, verdict in FATAL.items():
         status = verdict if counts.get(reason) else status
+    rows = kept_rows(tagged)
+    if status == "OK" and spec.fold_rule == "stratified":
+        spread = has_stratum_for_all_folds(dedup_first(rows), n_folds=n_folds)
+        status = "OK" if spread else "CLASSES_TOO_SMALL"
     if status == "OK":
-        folded = fold_corpus(kept_rows(tagged), spec, seed, n_folds)
+        folded = fold_corpus(rows, spec, seed, n_folds)
         if layout == "hive":
             write_pools(folded, root, spec.task, spec.corpus, n_folds)
         else:

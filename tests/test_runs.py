@@ -107,13 +107,25 @@ def test_failed_corpora_keep_their_old_pools(spark, tmp_path):
     path = raw / "HateBRCorpus" / "HateBR.csv"
     good = path.read_text()
     for content, expected in (
-        (good + "\nnovo,dois,x", "BAD_LABEL_TYPE"), (good + "\nnovo,1,x,y", "RAGGED"), ("comentario,label_final\nx,7\n", "EMPTY"), ("a,b\n1,2\n", "NO_INPUT"),
+        (good + "\nnovo,dois,x", "BAD_LABEL_TYPE"), (good + "\nnovo,1,x,y", "RAGGED"), ("comentario,label_final\nx,7\n", "EMPTY"), ("a,b\n1,2\n", "MISSING_COLUMNS"),
     ):
         path.write_text(content)
         assert [r.status for r in run_corpora(spark, [spec], str(raw), str(out)).collect()] == [expected]
         assert sorted(r.value for r in scan_lines(spark, str(out)).collect()) == before
 
 
+def test_stratified_corpora_need_one_class_for_all_folds(spark, tmp_path):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    spec = BY_NAME["IntentPTCorpus"]
+    (raw / spec.corpus).mkdir(parents=True)
+    path = raw / spec.corpus / "pt-PT.jsonl"
+    lines = [json.dumps({"utt": f"t{i}", "intent": f"c{i % 3}"}) for i in range(12)] * 2
+    for content, expected in ((lines, "CLASSES_TOO_SMALL"), ([*lines, '{"utt": "more", "intent": "c0"}'], "OK")):
+        path.write_text("\n".join(content))
+        assert [r.status for r in run_corpora(spark, [spec], str(raw), str(out)).collect()] == [expected]
+    assert [r.status for r in run_corpora(spark, [spec], str(tmp_path / "none"), str(out)).collect()] == ["NO_INPUT"]
+
+
 def test_an_exception_in_one_corpus_does_not_stop_the_others(spark, tmp_path):
     raw = tmp_path / "raw"
     specs = [BY_NAME["HateBRCorpus"], BY_NAME["BrandsCorpus"]]
