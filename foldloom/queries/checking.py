@@ -12,15 +12,15 @@ from foldloom.storage import stage
 SHOWN = ["k", "split", "check", "severity", "n"]
 
 
-def faulty_pools(spark, sf_dir):
+def faulty_folds(spark, sf_dir):
     """Raw documents with their copies, a source belonging to one fold as a whole."""
     fold = F.expr("CAST(substring(source, 4) AS INT) DIV 4 + 1")
     docs = table(spark, sf_dir, "documents", "text", F.col("lang").alias("label"), fold.alias("fold"))
-    return rotate(docs.select(F.lit("raw").alias("task"), F.lit("documents").alias("corpus"), "*"))
+    return docs.select(F.lit("raw").alias("task"), F.lit("documents").alias("corpus"), "*")
 
 
 def faulty_facts(spark, sf_dir):
-    return record_facts(pool_rows(faulty_pools(spark, sf_dir)))
+    return rotate(record_facts(pool_rows(faulty_folds(spark, sf_dir))))
 
 
 FAULTY_SQL = f"""
@@ -124,11 +124,11 @@ SELECT c.*, examples FROM ({LEAKAGE_SQL}) c JOIN shown USING (k, split)
 """
 
 
-def role_pools(spark, sf_dir):
+def role_folds(spark, sf_dir):
     """Conversations with their turn as the fold, so that some roles are in few folds."""
     fold = F.least(F.col("turn") + 1, F.lit(5)).cast("int")
     rows = table(spark, sf_dir, "conversations", "text", F.col("role").alias("label"), fold.alias("fold"))
-    return rotate(rows.select(F.lit("raw").alias("task"), F.lit("conversations").alias("corpus"), "*"))
+    return rows.select(F.lit("raw").alias("task"), F.lit("conversations").alias("corpus"), "*")
 
 
 ROLE_POOLS_SQL = f"""
@@ -138,7 +138,8 @@ pools AS ({rotated_sql('raw', 'text, label')})
 
 
 def check_labels(spark, sf_dir):
-    issues = checks.label_issues(checks.label_presence(record_facts(pool_rows(role_pools(spark, sf_dir)))))
+    facts = rotate(record_facts(pool_rows(role_folds(spark, sf_dir))))
+    issues = checks.label_issues(checks.label_presence(facts))
     return issues.select(*SHOWN, F.array_join("detail", "|").alias("labels"))
 
 
@@ -226,11 +227,11 @@ REGISTRY = [("raw", name) for name in ("en", "fr", "de", "es", "pt")] + [("clean
 
 
 def _status(spark, sf_dir):
-    raw = faulty_pools(spark, sf_dir).withColumn("corpus", F.col("label"))
+    raw = faulty_folds(spark, sf_dir).withColumn("corpus", F.col("label"))
     names = [F.lit("clean").alias("task"), F.lit("documents").alias("corpus")]
-    clean = rotate(dedup_and_fold(documents(spark, sf_dir)).select(*names, "text", "label", "fold"))
-    pools = [p.select("task", "corpus", "k", "split", "text", "label") for p in (raw, clean, role_pools(spark, sf_dir))]
-    facts = stage(record_facts(pool_rows(pools[0].unionByName(pools[1]).unionByName(pools[2]))))
+    clean = dedup_and_fold(documents(spark, sf_dir)).select(*names, "text", "label", "fold")
+    folds = raw.unionByName(clean).unionByName(role_folds(spark, sf_dir))
+    facts = rotate(stage(record_facts(pool_rows(folds))))
     files = facts.select("task", "corpus", "k", "split").distinct()
     issues = checks.all_issues(facts, files, examples=False)
     return checks.corpus_status(checks.registry_table(spark, REGISTRY), issues, files)
@@ -283,8 +284,8 @@ def status_gate(spark, sf_dir):
 def check_clean_folds(spark, sf_dir):
     """All checks over deduped and folded documents: only warnings about shares or labels may come."""
     names = [F.lit("clean").alias("task"), F.lit("documents").alias("corpus")]
-    pools = rotate(dedup_and_fold(documents(spark, sf_dir), "stratified").select(*names, "text", "label", "fold"))
-    facts = stage(record_facts(pool_rows(pools)))
+    folds = dedup_and_fold(documents(spark, sf_dir), "stratified").select(*names, "text", "label", "fold")
+    facts = rotate(stage(record_facts(pool_rows(folds))))
     issues = checks.all_issues(facts, examples=False)
     return issues.agg(
         F.count_if(F.col("severity") == "ERROR").alias("n_errors"),

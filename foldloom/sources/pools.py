@@ -98,10 +98,17 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return rated.select(*PLACE, *columns, keys.alias("keys"))
 
 
+def _carried(rows: DataFrame) -> list[str]:
+    return [name for name in (*PLACE, "fold") if name in rows.columns]
+
+
 def pool_rows(pools: DataFrame) -> DataFrame:
-    """The same facts for a table of pools that has not been written: all lines are sound."""
+    """The same facts for a table of pools that has not been written: all lines are sound.
+
+    Folds do as well: their facts can be rotated afterwards, so that every text is looked at once.
+    """
     return pools.select(
-        *PLACE,
+        *_carried(pools),
         F.lit(False).alias("bad_utf8"),
         F.lit(False).alias("bad_json"),
         "text",
@@ -129,7 +136,7 @@ def record_facts(rows: DataFrame, example_chars: int = 60) -> DataFrame:
         flags.append((~F.col("bad_json") & ~F.array_contains("keys", name)).alias(f"{name}_missing"))
     extra = F.size(F.array_except("keys", F.array(*[F.lit(name) for name in required]))) > 0
     return rows.select(
-        *PLACE,
+        *_carried(rows),
         "bad_utf8",
         "bad_json",
         *flags,
