@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import compare, connect
+from foldloom.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,7 +15,8 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
 
 
 def test_flagship(spark):
@@ -23,7 +25,7 @@ def test_flagship(spark):
     assert df.count() == 15
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
-    problem = compare(spark, duck, SF_DIR, name, entry_module.queries()[name], entry_module.oracle_sql()[name])
+    problem = compare(spark, duck, SF_DIR, name, QUERIES[name], ORACLES[name])
     assert problem is None
