@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldloom.llm import toxicity
+from foldloom.llm import language, toxicity, warc
 from foldloom.llm.tables import held_out, table
+from foldloom.storage import new_folder
 
 QUERIES = {}
 ORACLES = {}
@@ -24,3 +25,18 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels", "doc_id", F.col("toxic").alias("label")).where(~out)
     machine = toxicity.train(docs, labels)
     return toxicity.score(docs, machine).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark) + "/warc"
+    index = warc.write(table(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
+    return warc.read(index, folder).drop("url", "payload")
+
+
+@query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    out = held_out(F.col("doc_id"), 4, 2)
+    model = language.train(docs.where(~out))
+    return language.predict(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
