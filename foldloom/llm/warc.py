@@ -1,6 +1,7 @@
 """WARC archives with an index, and reads of selected records by byte ranges.
 
-Writing: every task writes one archive file and gives one index row per record: file, offset, length, URL, digest. Of
+Writing: every task writes one archive file, each record a gzip member of its own, and gives one index row per record:
+file, offset, length, URL, digest. Of
 records with equal payloads of at least ``min_dedup_bytes`` bytes the one with the smallest id is the response, the others
 are revisits that refer to it and hold no payload. The index is a table, written before anything is read back.
 
@@ -18,6 +19,7 @@ Columns beside id, URL and payload are ignored.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -90,14 +92,15 @@ def write(pages: DataFrame, folder: str | None = None, min_dedup_bytes: int = 0)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = open_store(folder)
         store.create_dir(path, recursive=True)
-        name = f"{path.rstrip('/')}/{uuid.uuid4().hex}.warc"
+        name = f"{path.rstrip('/')}/{uuid.uuid4().hex}.warc.gz"
         out, offset = None, 0
         for batch in batches:
             found = []
             for page_id, url, html, refers_to, sha1, n_bytes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data, digest = record(page_id, url, b"" if html is None else html.encode(), refers_to, sha1, n_bytes)
+                data = gzip.compress(data, 1, mtime=0)
                 if out is None:
-                    out = store.open_output_stream(name)
+                    out = store.open_output_stream(name, compression=None)
                 out.write(data)
                 kind = "response" if refers_to is None else "revisit"
                 found.append((page_id, name, offset, len(data), url, n_bytes, digest, kind, refers_to))
@@ -161,7 +164,7 @@ def read(index: DataFrame, root: str) -> DataFrame:
                         rows = []
                         for i in held:
                             at, length = own[i]
-                            head, payload = parse(data[at - start : at - start + length])
+                            head, payload = parse(gzip.decompress(data[at - start : at - start + length]))
                             digest = head["warc-payload-digest"].removeprefix("sha1:")
                             kind = head["warc-type"]
                             if kind == "response" and base32_sha1(payload) != digest:
