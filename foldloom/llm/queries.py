@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldloom.llm import language, toxicity, warc
+from foldloom.llm import language, ngram_join, toxicity, warc
 from foldloom.llm.tables import held_out, table
 from foldloom.storage import new_folder
 
@@ -18,6 +18,11 @@ def query(f):
     return f
 
 
+@query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
