@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldloom.llm import language, ngram_join, toxicity, warc
+from foldloom.llm import language, licenses, mixing, ngram_join, substring_dedup, toxicity, warc
 from foldloom.llm.tables import held_out, table
 from foldloom.storage import new_folder
 
@@ -23,6 +23,11 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -32,6 +37,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, machine).select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
+@query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+ORACLES["op4_licenses"] = licenses.oracle()
+
+
 @query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark) + "/warc"
@@ -45,3 +58,8 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = held_out(F.col("doc_id"), 4, 2)
     model = language.train(docs.where(~out))
     return language.predict(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents", "doc_id", "source"))
