@@ -19,14 +19,16 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldloom.llm.fm_index import FMIndex
-from foldloom.llm.words import WHITE, gram_hashes, mix, slices, spans, utf8, word_hashes
+from foldloom.llm.words import WHITE, gram_hashes, range_hashes, slices, spans, utf8, word_hashes
 from foldloom.storage import stage
 
 ANCHOR = 12
@@ -95,6 +97,13 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.select("row", "text").mapInArrow(run, "row bigint, size bigint, packed binary")
 
 
+def flat(lists: pa.Array, fields: tuple[str, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Where the structs of each list begin and end, and their fields one after another; null lists are empty."""
+    values = lists.flatten()
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+    return np.concatenate(([0], np.cumsum(sizes))), [values.field(f).to_numpy(zero_copy_only=False) for f in fields]
+
+
 def _segments(rows: DataFrame, window: int) -> DataFrame:
     """From ``packed`` texts with the runs of repeated anchors: one row ``segment, row, place`` per segment, and once per task and
     segment ``segment, shard, words, windows, weight``."""
@@ -111,33 +120,40 @@ def _segments(rows: DataFrame, window: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
         for batch in batches:
-            found: list[tuple] = []
-            for row, length, packed, hits in zip(*(batch.column(c).to_pylist() for c in ("row", "size", "packed", "hits")), strict=True):
+            found: list[tuple[np.ndarray, int, np.ndarray]] = []
+            bounds, (run_, anchor, hot) = flat(batch.column("hits"), ("run", "anchor", "hot"))
+            columns = (batch.column(c).to_pylist() for c in ("row", "size", "packed"))
+            for i, (row, length, packed) in enumerate(zip(*columns, strict=True)):
                 data = np.frombuffer(codec.decompress(packed, length), np.uint8)
                 starts, stops, _ = spans(data, np.array([0, len(data)]), WHITE)
                 words = word_hashes(data, starts, stops)
-                pieces = []
-                for hit in hits:
-                    place, count = hit["run"] >> 6, hit["run"] & 63
-                    if hit["hot"]:
-                        pieces += [(p, 1, None) for p in range(place, place + count)]
-                    else:
-                        pieces.append((place, count, hit["anchor"]))
-                for place, count, shard in pieces:
-                    own = words[place : place + count + window - 1]
-                    segment = int(gram_hashes(own, len(own)).view(np.int64)[0])
-                    found.append((segment, row, place))
-                    if segment in held:
-                        held[segment][3] += 1
+                # Repeated rows share a key, and each of their hits is there once for every one of them.
+                runs_, at = np.unique(run_[bounds[i] : bounds[i + 1]], return_index=True)
+                shards, alone = anchor[bounds[i] : bounds[i + 1]][at], hot[bounds[i] : bounds[i + 1]][at].astype(bool)
+                place, count = runs_ >> 6, runs_ & 63
+                copies = np.where(alone, count, 1)
+                inner = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
+                place, count = np.repeat(place, copies) + inner, np.repeat(np.where(alone, 1, count), copies)
+                ends = place + count + window - 1
+                segment = range_hashes(words, place, ends).view(np.int64)
+                shard = np.where(np.repeat(alone, copies), segment, np.repeat(shards, copies))
+                found.append((segment, row, place))
+                for key, own, first, end, n in zip(segment.tolist(), shard.tolist(), place.tolist(), ends.tolist(), count.tolist(), strict=True):
+                    old = held.get(key)
+                    if old is not None:
+                        old[3] += 1
                     else:
-                        held[segment] = [segment if shard is None else shard, own.tobytes(), count, 1]
-                        size += len(own)
+                        held[key] = [own, words[first:end].tobytes(), n, 1]
+                        size += end - first
                 if size > 1 << 22:  # 32 MB of words; a segment may then be given more than once
                     yield contents()
                     held, size = {}, 0
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array([f[i] for f in found], LONG) for i in range(3)), *(pa.nulls(len(found), t) for t in kinds[3:])], names
-            )
+            if found:
+                segment = np.concatenate([f[0] for f in found])
+                row = np.repeat(np.array([f[1] for f in found], np.int64), [len(f[0]) for f in found])
+                place = np.concatenate([f[2] for f in found])
+                nulls = [pa.nulls(len(segment), t) for t in kinds[3:]]
+                yield pa.RecordBatch.from_arrays([pa.array(segment), pa.array(row), pa.array(place, LONG), *nulls], names)
         yield contents()
 
     return rows.mapInArrow(run, "segment bigint, row bigint, place bigint, shard bigint, words binary, windows bigint, weight bigint")
@@ -187,30 +203,22 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     ``hits`` holds a ``place`` and a ``mask`` of the windows from there on."""
     keyed = docs.withColumn("row", F.xxhash64(F.lit(3), F.col(id_col), F.col(text_col)))
     texts = keyed.select("row", F.col(text_col).alias("text"))
-    dealt = _anchors(texts, window).repartition("anchor")
-    counts = dealt.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    repeated = dealt.join(counts.hint("shuffle_hash"), "anchor").select("row", F.struct("anchor", "run", (F.col("n") > HOT).alias("hot")).alias("hit"))
-    hits = repeated.groupBy("row").agg(F.collect_list("hit").alias("hits"), F.count("*").alias("n_hits"))
-    # Repeated rows share a key, and so each of their hits is there once for every one of them.
-    hits = stage(hits.select("row", F.array_distinct("hits").alias("hits")))
+    anchors = _anchors(texts, window)
+    counts = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = anchors.join(counts, "anchor").select("row", F.struct("anchor", "run", (F.col("n") > HOT).alias("hot")).alias("hit"))
+    hits = stage(repeated.groupBy("row").agg(F.collect_list("hit").alias("hits")))
     found = stage(_segments(_packed(texts).join(hits, "row"), window))
     masks = _repeated(found.where("shard is not null").select("shard", "segment", "words", "windows", "weight"), window)
     places = found.where("shard is null").select("segment", "row", "place").distinct().join(masks, "segment")
     return keyed, places.groupBy("row").agg(F.collect_list(F.struct("place", "mask")).alias("marks"))
 
 
-def covered(n_words: int, marks: list[dict], window: int) -> np.ndarray:
-    """Which words lie in a repeated window."""
-    edges = np.zeros(n_words + 1, np.int64)
-    for mark_ in marks or []:
-        mask, place = mark_["mask"], mark_["place"]
-        while mask:
-            low = mask & -mask
-            start = place + low.bit_length() - 1
-            edges[start] += 1
-            edges[start + window] -= 1
-            mask ^= low
-    return np.cumsum(edges[:-1]) > 0
+def covered(n_words: int, place: np.ndarray, mask: np.ndarray, window: int) -> np.ndarray:
+    """Which words lie in a repeated window; ``mask`` has a bit for each window from ``place`` on."""
+    which, later = np.nonzero((mask[:, None] >> np.arange(window)) & 1)
+    starts = place[which] + later
+    edges = np.bincount(starts, minlength=n_words + 1) - np.bincount(starts + window, minlength=n_words + 1)
+    return np.cumsum(edges[:n_words]) > 0
 
 
 def _joined(keyed: DataFrame, marks: DataFrame, text_col: str, others: list[str]) -> DataFrame:
@@ -234,16 +242,20 @@ def _joined(keyed: DataFrame, marks: DataFrame, text_col: str, others: list[str]
 def _kept(batch: pa.RecordBatch, window: int) -> Iterator[tuple[int, int, str | None]]:
     """Number of words, number of removed words, and the kept words joined by one space (None for a null text)."""
     codec = pa.Codec("zstd")
-    for size, packed, marks in zip(*(batch.column(c).to_pylist() for c in ("size_", "packed_", "marks")), strict=True):
+    bounds, (place, mask) = flat(batch.column("marks"), ("place", "mask"))
+    for i, (size, packed) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("size_", "packed_")), strict=True)):
         if packed is None:
             yield 0, 0, None
             continue
-        raw = codec.decompress(packed, size, asbytes=True)
-        data = np.frombuffer(raw, np.uint8)
-        starts, stops, _ = spans(data, np.array([0, len(data)]), WHITE)
-        gone = covered(len(starts), marks, window)
-        keep = np.flatnonzero(~gone)
-        yield len(starts), int(gone.sum()), b" ".join(raw[a:b] for a, b in zip(starts[keep].tolist(), stops[keep].tolist(), strict=True)).decode()
+        words = codec.decompress(packed, size, asbytes=True).split()  # at the six bytes of white space
+        removed = 0
+        if bounds[i + 1] > bounds[i]:
+            gone = covered(len(words), place[bounds[i] : bounds[i + 1]], mask[bounds[i] : bounds[i + 1]], window)
+            removed = int(gone.sum())
+            words_kept = compress(words, (~gone).tolist())
+        else:
+            words_kept = words
+        yield len(words), removed, b" ".join(words_kept).decode()
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35) -> DataFrame:

@@ -109,6 +109,14 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(total)
 
 
+def range_hashes(words: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Hashes of runs of words of any lengths, from prefix sums of a polynomial over their hashes."""
+    up, down = _powers(max(SLICE_BYTES, 1 << (len(words) + 1).bit_length()))
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * up[: len(words)], out=sums[1:])
+    return mix((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64))
+
+
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
     """For each text its distinct shingles of ``n`` words, A-Z lower-cased, as sorted 64-bit hashes.
 
