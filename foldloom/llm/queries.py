@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldloom.llm import language, licenses, mixing, ngram_join, substring_dedup, toxicity, warc
+from foldloom.llm import decontamination, fingerprints, language, licenses, mixing, ngram_join, substring_dedup, toxicity, warc
 from foldloom.llm.tables import held_out, table
 from foldloom.storage import new_folder
 
@@ -60,6 +60,17 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
+    return decontamination.matches(docs, items).drop("row")
+
+
+@query
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents", "doc_id", "source"))
