@@ -94,7 +94,8 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(row_key(id_col, text_col).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # Words are a column of their own: inside the lambda they would be cut again for every shingle.
     cut = texts.select("row", words(F.col("text")).alias("w"))
-    placed = cut.select("row", F.posexplode(shingles(F.col("w"))).alias("p", "h"))
+    # An inner explode would filter on the size of the array first, with the same effect.
+    placed = cut.select("row", F.posexplode_outer(shingles(F.col("w"))).alias("p", "h")).where("h is not null")
     hits = _join(placed, wanted, ["h"], few_items).groupBy("row", "item", "n_words", "m", "t").agg(F.sort_array(F.collect_set("p")).alias("p"))
     hits = hits.where(F.size("p") >= F.col("t"))
     # Windows that hold the i-th to the (i + t - 1)-th shared shingle.
