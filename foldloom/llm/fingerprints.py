@@ -57,7 +57,10 @@ def sample(h: Column, log_w: Column, number: int) -> Column:
 
 def signatures(rows: DataFrame, terms: dict[str, int], key: str = "row") -> DataFrame:
     """``key, which, signature``: of each of the named columns of terms, under its number; none for a column without terms."""
-    both = F.concat(*(F.transform(c, lambda e, n=n: F.struct(F.lit(n).alias("which"), e.h.alias("h"), e.w.alias("w"))) for c, n in terms.items()))
+    def numbered(column: str, number: int) -> Column:
+        return F.transform(column, lambda e: F.struct(F.lit(number).alias("which"), e.h.alias("h"), e.w.alias("w")))
+
+    both = F.concat(*(numbered(c, n) for c, n in terms.items()))
     # An inner explode would filter on the size of the array first, and cut the words again inside each lambda for that.
     flat = rows.select(key, both.alias("e")).select(key, F.explode_outer("e").alias("e")).where("e is not null")
     flat = flat.select(key, "e.which", "e.h", F.log(F.col("e.w").cast("double")).alias("log_w"))
