@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldloom.llm import decontamination, fingerprints, language, licenses, mixing, ngram_join, substring_dedup, toxicity, warc
+from foldloom.llm import decontamination, fingerprints, language, licenses, mixing, ngram_join, quality, substring_dedup, toxicity, warc
 from foldloom.llm.tables import held_out, table
 from foldloom.storage import new_folder
 
@@ -71,6 +71,14 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source is a document's host, and its language the path below it."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", F.col("source").alias("host"), F.col("lang").alias("path"))
+    labels = table(spark, sf_dir, "labels", "doc_id", F.col("quality").alias("label"))
+    return quality.scores(docs, labels)
+
+
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents", "doc_id", "source"))

@@ -166,3 +166,17 @@ def score(docs: DataFrame, machine: FactorizationMachine, id_col: str = "doc_id"
         run, f"id {id_type}, score double, predicted int"
     )
     return found.withColumnRenamed("id", id_col)
+
+
+def keep_clean(docs: DataFrame, machine: FactorizationMachine, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, that are not predicted to be toxic."""
+    shared = docs.sparkSession.sparkContext.broadcast(machine)
+
+    def run(batches):
+        model, place = shared.value, None
+        for whole in batches:
+            place = model.place() if place is None else place
+            for batch in slices(whole, text_col):
+                yield batch.filter(pa.array(model.scores(batch.column(text_col), place) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
