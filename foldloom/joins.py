@@ -1,8 +1,9 @@
 """Joins of a large table with one that is usually small, by checked size."""
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
@@ -17,6 +18,13 @@ def fits_broadcast(small: DataFrame) -> bool:
     return row[0] <= BROADCAST_ROWS and row[1] <= BROADCAST_BYTES
 
 
+def null_safe_join(large: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Inner or left join in which a null key meets a null key; the keys of ``large`` are kept."""
+    renamed = small.withColumnsRenamed({name: f"_on_{name}" for name in on})
+    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"_on_{name}")) for name in on])
+    return large.join(renamed, same, how).drop(*[f"_on_{name}" for name in on])
+
+
 def lookup_join(
     large: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", fits: bool | None = None
 ) -> DataFrame:
@@ -30,7 +38,7 @@ def lookup_join(
     if fits is None:
         fits = fits_broadcast(small)
     if fits:
-        return large.join(F.broadcast(small), list(on), how)
+        return null_safe_join(large, F.broadcast(small), list(on), how)
     salted = large.withColumn("_salt", F.pmod(F.xxhash64(*large.columns), F.lit(SALTS)))
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return null_safe_join(salted, repeated, [*on, "_salt"], how).drop("_salt")

@@ -61,17 +61,20 @@ VALUE_ERRORS = {
 }
 
 
-def expected_places(files: DataFrame) -> DataFrame:
-    """Every split of the rotations that have any file."""
+def expected_places(files: DataFrame, rotations: DataFrame | None = None) -> DataFrame:
+    """Every split of the rotations that have any file, and of those in ``rotations``, whose folder exists."""
     splits = F.array(*[F.lit(name) for name in SPLITS])
-    return files.select(*FOLD).distinct().withColumn("split", F.explode(splits))
+    known = files.select(*FOLD)
+    if rotations is not None:
+        known = known.unionByName(rotations.select(*FOLD))
+    return known.distinct().withColumn("split", F.explode(splits))
 
 
-def place_issues(profiles: DataFrame, files: DataFrame | None = None) -> DataFrame:
+def place_issues(profiles: DataFrame, files: DataFrame | None = None, rotations: DataFrame | None = None) -> DataFrame:
     """Everything that the profile of a split tells: keys, empty values, types, JSON, UTF-8, and its share.
 
     With ``files``, the places for which a file exists, also splits without a file and splits with a file
-    and no rows. A share is that of a non-empty split among the rows of its rotation.
+    and no rows; ``rotations`` adds rotations that are folders without files. A share is that of a non-empty split among the rows of its rotation.
     """
     findings = [_finding(check, "ERROR", F.col(column)) for check, column in VALUE_ERRORS.items()]
     findings.append(_finding("extra_keys", "WARN", F.col("extra_keys")))
@@ -87,7 +90,7 @@ def place_issues(profiles: DataFrame, files: DataFrame | None = None) -> DataFra
     if files is None:
         return _findings(profiles.withColumn("_total", total), findings)
 
-    placed = expected_places(files).join(files.withColumn("_file", F.lit(True)), PLACE, "left").join(profiles, PLACE, "left")
+    placed = expected_places(files, rotations).join(files.withColumn("_file", F.lit(True)), PLACE, "left").join(profiles, PLACE, "left")
     no_file = F.col("_file").isNull()
     no_rows = ~no_file & (F.coalesce("n_rows", F.lit(0)) == 0)
     findings.append(_finding("missing_file", "ERROR", no_file.cast("int")))
@@ -111,7 +114,8 @@ def label_presence(facts: DataFrame) -> DataFrame:
 
 
 def label_issues(labels: DataFrame, examples: bool = True) -> DataFrame:
-    """Labels of valid or test that train lacks, and labels of train that a non-empty valid or test lacks."""
+    """Labels of valid or test that train lacks, and labels of train that a non-empty valid or test lacks.
+    The finding names all of them."""
     pairs = [("train", split) for split in SPLITS[1:]]
     gaps = []
     for train, split in pairs:
@@ -135,15 +139,16 @@ def label_issues(labels: DataFrame, examples: bool = True) -> DataFrame:
         ]
     )
     hits = labels.select(*FOLD, "label", F.inline(listed)).where("hit")
-    return _with_examples(issues, hits, "label", "label")
+    return _with_examples(issues, hits, "label", "label", limit=None)
 
 
-def _with_examples(issues: DataFrame, hits: DataFrame, order: str, shown: str) -> DataFrame:
-    """Fill ``detail`` with the first few hits of every finding. Both sides are cut to findings."""
+def _with_examples(issues: DataFrame, hits: DataFrame, order: str, shown: str, limit: int | None = EXAMPLES) -> DataFrame:
+    """Fill ``detail`` with the first few hits of every finding, or with all of them. Both sides are cut to findings."""
     key = [*PLACE, "check"]
-    first = F.row_number().over(Window.partitionBy(*key).orderBy(order))
-    few = hits.withColumn("_no", first).where(F.col("_no") <= EXAMPLES)
-    lists = few.groupBy(*key).agg(F.sort_array(F.collect_list(shown)).alias("_examples"))
+    if limit is not None:
+        first = F.row_number().over(Window.partitionBy(*key).orderBy(order))
+        hits = hits.withColumn("_no", first).where(F.col("_no") <= limit)
+    lists = hits.groupBy(*key).agg(F.sort_array(F.collect_list(shown)).alias("_examples"))
     joined = issues.join(lists, key, "left").withColumn("detail", F.coalesce("_examples", "detail"))
     return joined.select(*ISSUE)
 
@@ -187,11 +192,13 @@ def text_issues(texts: DataFrame, examples: bool = True) -> DataFrame:
 def rotation_issues(facts: DataFrame) -> DataFrame:
     """Texts that are in the test sets of two rotations, per pair of rotations.
 
-    Only test splits are read. Texts are counted by the set of rotations that test them, and only those
-    few sets are taken apart into pairs.
+    Only test splits are read. One aggregate of fixed-width values tells the texts of more than one rotation;
+    only these are counted by the set of rotations that test them, and only those few sets are taken apart into pairs.
     """
-    tests = facts.where("NOT bad_json AND split = 'test'").select(*FOLD, "digest").distinct()
-    tested = tests.groupBy("task", "corpus", "digest").agg(F.sort_array(F.collect_set("k")).alias("ks"))
+    tests = facts.where("NOT bad_json AND split = 'test'").select(*FOLD, "digest")
+    text, number = ["task", "corpus", "digest"], F.xxhash64("k")
+    several = tests.groupBy(*text).agg(F.min(number).alias("_lo"), F.max(number).alias("_hi")).where("_lo <> _hi").select(*text)
+    tested = tests.join(several, text, "left_semi").groupBy("task", "corpus", "digest").agg(F.sort_array(F.collect_set("k")).alias("ks"))
     sets = tested.where(F.size("ks") > 1).groupBy("task", "corpus", "ks").agg(F.count("*").alias("_n"))
     pairs = sets.select("*", F.posexplode("ks").alias("_i", "_first")).select(
         "*", F.explode(F.slice(F.col("ks"), F.col("_i") + 2, F.size("ks"))).alias("_second")
@@ -202,13 +209,19 @@ def rotation_issues(facts: DataFrame) -> DataFrame:
     return _findings(summed, [_finding("test_overlap", "ERROR", F.col("_n"))])
 
 
-def all_issues(facts: DataFrame, files: DataFrame | None = None, n_folds: int = N_FOLDS, examples: bool = True) -> DataFrame:
+def all_issues(
+    facts: DataFrame,
+    files: DataFrame | None = None,
+    n_folds: int = N_FOLDS,
+    examples: bool = True,
+    rotations: DataFrame | None = None,
+) -> DataFrame:
     """Every check. Without ``files`` a split that has rows is taken to exist."""
     if files is None:
         files = facts.select(*PLACE).distinct()
     parts = [
-        place_issues(profile(facts), files),
-        fold_count_issues(files, n_folds),
+        place_issues(profile(facts), files, rotations),
+        fold_count_issues(files if rotations is None else expected_places(files, rotations), n_folds),
         label_issues(label_presence(facts), examples),
         text_issues(text_presence(facts, examples), examples),
         rotation_issues(facts),

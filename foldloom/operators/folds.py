@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldloom.joins import fits_broadcast, lookup_join
+from foldloom.joins import fits_broadcast, lookup_join, null_safe_join
 from foldloom.operators.dedup import dedup_first
 
 N_FOLDS = 5
@@ -75,7 +75,7 @@ def fold_limits(
         sizes = counts.groupBy(*group).agg(F.sum("_n").alias("_n"))
         earlier = Window.partitionBy(*outer).orderBy(stratum)
         offsets = sizes.select(*group, (F.sum("_n").over(earlier) - F.col("_n")).alias("_offset"))
-        runs = runs.join(offsets, group)
+        runs = null_safe_join(runs, offsets, group)
     else:
         runs = runs.withColumn("_offset", F.lit(0).cast("bigint"))
 
@@ -95,8 +95,8 @@ def fold_limits(
     )
     if fits is None:
         fits = fits_broadcast(keys.select(*group).distinct()) if group else True
-    near = keys.withColumn("_bucket", _bucket()).join(
-        F.broadcast(targets) if fits else targets, [*group, "_bucket"]
+    near = null_safe_join(
+        keys.withColumn("_bucket", _bucket()), F.broadcast(targets) if fits else targets, [*group, "_bucket"]
     )
     place = F.row_number().over(Window.partitionBy(*group, "_bucket", "_no").orderBy("order_key")) - 1
     found = near.withColumn("_place", place).where("_place = _skip")

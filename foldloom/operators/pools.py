@@ -23,7 +23,7 @@ def rotate(folded: DataFrame, n_folds: int = N_FOLDS) -> DataFrame:
     turned = folded.withColumn("_k", F.explode(rotations))
     return turned.select(
         "*",
-        F.lpad(F.col("_k").cast("string"), 2, "0").alias("k"),
+        F.format_string("%02d", "_k").alias("k"),
         split_of(F.col("fold"), F.col("_k"), n_folds).alias("split"),
     ).drop("_k")
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from foldloom.operators.folds import N_FOLDS
 from foldloom.operators.pools import rotate
+from foldloom.storage import drop_folder
 
 
 def corpus_folder(root: str, task: str, corpus: str, layout: str = "hive") -> str:
@@ -14,6 +15,11 @@ def corpus_folder(root: str, task: str, corpus: str, layout: str = "hive") -> st
     return f"{root.rstrip('/')}/{task}/{corpus}/few_shot"
 
 
+def rotation_folder(root: str, task: str, corpus: str, k: str, layout: str = "hive") -> str:
+    folder = corpus_folder(root, task, corpus, layout)
+    return f"{folder}/k={k}" if layout == "hive" else f"{folder}/{k}"
+
+
 def pool_folder(root: str, task: str, corpus: str, k: str, split: str, layout: str = "hive") -> str:
     folder = corpus_folder(root, task, corpus, layout)
     return f"{folder}/k={k}/split={split}" if layout == "hive" else f"{folder}/{k}/{split}.jsonl"
@@ -50,8 +56,10 @@ def write_fold_table(folded: DataFrame, root: str, task: str, corpus: str) -> st
 def write_few_shot_tree(stored: DataFrame, root: str, task: str, corpus: str, n_folds: int = N_FOLDS) -> str:
     """Replace the pools of one corpus by ``few_shot/{kk}/{split}.jsonl``, each of them a folder of lines.
 
-    ``stored`` is a fold table read back: every pool is a scan of its folds alone, without shuffle or sort.
+    ``stored`` is a fold table read back: every pool is a scan of its folds alone, without shuffle or sort. The folder of
+    the corpus is cleared first, so that no rotation of an earlier run with more folds stays.
     """
+    drop_folder(stored.sparkSession, corpus_folder(root, task, corpus, "few_shot"))
     for k in range(1, n_folds + 1):
         following = k % n_folds + 1
         rest = [fold for fold in range(1, n_folds + 1) if fold not in (k, following)]

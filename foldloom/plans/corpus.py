@@ -8,16 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldloom.functions.text import SEED
-from foldloom.operators.cleaning import FATAL, drop_failed_corpora, kept_rows, tag_rows
+from foldloom.operators.cleaning import FATAL, corpus_gate, kept_rows, tag_rows
 from foldloom.operators.dedup import dedup_first, with_order_key
 from foldloom.operators.folds import N_FOLDS, dedup_and_fold, has_stratum_for_all_folds
 from foldloom.operators.sinks import write_few_shot_tree, write_fold_table, write_pools
 from foldloom.plans.spec import CorpusSpec
 from foldloom.sources.inputs import scan_inputs
 from foldloom.sources.pools import folder_exists
-from foldloom.storage import new_folder, stage
+from foldloom.storage import scratch, stage
 
-STATUS = "task string, corpus string, status string, rows_in bigint, rows_kept bigint"
+STATUS = "task string, corpus string, status string, rows_in bigint, rows_kept bigint, detail string"
 
 
 def fold_corpus(kept: DataFrame, spec: CorpusSpec, seed: int = SEED, n_folds: int = N_FOLDS) -> DataFrame:
@@ -51,7 +51,12 @@ def build_corpora(
     rules = {spec.fold_rule for spec, _ in raws}
     if len(rules) != 1:
         raise ValueError("build corpora with different fold rules in separate calls")
-    rows = with_order_key(drop_failed_corpora(tag_corpora(raws), ["task", "corpus"]), seed)
+    # The gate is one row per corpus: it is read first, and corpora that fail are not in the plan of the others.
+    gate = corpus_gate(tag_corpora(raws), ["task", "corpus"]).where("status = 'OK'").select("task", "corpus").collect()
+    passed = {tuple(row) for row in gate}
+    good = [(spec, raw) for spec, raw in raws if (spec.task, spec.corpus) in passed]
+    tagged = tag_corpora(good) if good else tag_corpora(raws).limit(0)
+    rows = with_order_key(kept_rows(tagged), seed)
     closed = rules == {"contiguous"} or all(spec.has_closed_labels for spec, _ in raws)
     return dedup_and_fold(rows, rules.pop(), ["task", "corpus"], n_folds=n_folds, fits=True if closed else None)
 
@@ -73,8 +78,14 @@ def run_corpus(
     raw = scan_inputs(spark, spec, paths)
     if raw is None:
         status = "MISSING_COLUMNS" if any(folder_exists(spark, path) for path in paths) else "NO_INPUT"
-        return spec.task, spec.corpus, status, 0, 0
-    tagged = stage(with_order_key(tag_rows(raw, spec), seed))
+        return spec.task, spec.corpus, status, 0, 0, None
+    with scratch(spark) as folder:
+        return _run_staged(spark, spec, stage(with_order_key(tag_rows(raw, spec), seed), folder), folder, root, seed, n_folds, layout)
+
+
+def _run_staged(
+    spark: SparkSession, spec: CorpusSpec, tagged: DataFrame, folder: str, root: str, seed: int, n_folds: int, layout: str
+) -> tuple:
     counts = {
         row["reject_reason"]: row["n"]
         for row in tagged.groupBy("reject_reason").agg(F.count("*").alias("n")).collect()
@@ -92,9 +103,9 @@ def run_corpus(
         if layout == "hive":
             write_pools(folded, root, spec.task, spec.corpus, n_folds)
         else:
-            stored = spark.read.parquet(write_fold_table(folded, new_folder(spark), spec.task, spec.corpus))
+            stored = spark.read.parquet(write_fold_table(folded, folder, spec.task, spec.corpus))
             write_few_shot_tree(stored, root, spec.task, spec.corpus, n_folds)
-    return spec.task, spec.corpus, status, sum(counts.values()), kept
+    return spec.task, spec.corpus, status, sum(counts.values()), kept, None
 
 
 def run_corpora(
@@ -110,7 +121,7 @@ def run_corpora(
     """Every corpus of the list as jobs of one session, a few at once, and a status row for each.
 
     ``inputs`` is a folder with one folder per corpus, or the paths by corpus name. An exception in one
-    corpus is reported as ERROR and does not stop the others.
+    corpus is reported as ERROR, with its whole text in ``detail``, and does not stop the others.
     """
 
     def paths(spec: CorpusSpec) -> list[str]:
@@ -122,7 +133,7 @@ def run_corpora(
         try:
             return run_corpus(spark, spec, paths(spec), root, seed, n_folds, layout)
         except Exception as error:
-            return spec.task, spec.corpus, f"ERROR: {type(error).__name__}: {error}"[:300], 0, 0
+            return spec.task, spec.corpus, "ERROR", 0, 0, f"{type(error).__name__}: {error}"
 
     with ThreadPoolExecutor(at_once) as pool:
         return spark.createDataFrame(list(pool.map(run, specs)), STATUS)

@@ -1,6 +1,7 @@
 """A session for one machine. On a cluster the submitter configures the session."""
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -18,3 +19,14 @@ def local_session(cpus: int | str | None = None) -> SparkSession:
         .config("spark.log.level", "ERROR")
         .getOrCreate()
     )
+
+
+def local_scratch(spark: SparkSession) -> str | None:
+    """A folder for intermediate tables of a session on one machine; None on a cluster, which has to name one."""
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        return None
+    folder = spark.conf.get("foldloom.scratch", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="foldloom-")
+        spark.conf.set("foldloom.scratch", folder)
+    return folder

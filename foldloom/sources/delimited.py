@@ -58,7 +58,8 @@ def field_count(record: Column, source: Delimited, sep: str) -> Column:
     escaped = re.escape(sep)
     if not source.quoted:
         return F.size(F.split(record, escaped, -1))
-    field = rf'(?:"(?:[^"]|"")*"[^{escaped}]*|[^"{escaped}][^{escaped}]*|)'
+    # Possessive loops keep no state for each character, so the length of a field does not matter.
+    field = rf'(?:"[^"]*+(?:""[^"]*+)*+"[^{escaped}]*+|[^"{escaped}][^{escaped}]*+|)'
     return F.regexp_count(record, F.lit(rf"(?:^|{escaped}){field}"))
 
 

@@ -12,7 +12,7 @@ def file_position(input_no: int) -> Column:
     """
     return F.struct(
         F.lit(input_no).alias("input_no"),
-        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
     )

@@ -1,10 +1,15 @@
-"""Shared folder for intermediate tables."""
+"""Shared folders for intermediate tables."""
+
+from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from foldloom.session import local_scratch
+
 
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder that the cluster names in ``spark.checkpoint.dir``, if any."""
@@ -12,18 +17,32 @@ def shared_folder(spark: SparkSession) -> str | None:
 
 
 def new_folder(spark: SparkSession) -> str:
-    """A fresh folder every executor can reach; a machine-local one only in local mode."""
-    shared = shared_folder(spark)
-    if shared:
-        return f"{shared.rstrip('/')}/foldloom-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="foldloom-")
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    """A fresh folder every executor can reach. A session on one machine that names none gets one of its own."""
+    shared = shared_folder(spark) or local_scratch(spark)
+    if not shared:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return f"{shared.rstrip('/')}/foldloom-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Write a table once and read it back, so that later jobs neither recompute its lineage
     nor depend on the executors that made it, and read only the columns they use."""
-    path = new_folder(df.sparkSession) + "/rows"
+    path = (folder or new_folder(df.sparkSession)) + f"/rows-{uuid.uuid4().hex[:8]}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in whatever store it is, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A fresh shared folder that is gone when the block ends, also after an error."""
+    folder = new_folder(spark)
+    try:
+        yield folder
+    finally:
+        drop_folder(spark, folder)
