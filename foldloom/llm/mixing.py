@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 PERIOD = 1000
 MAX_SOURCES = 500
-BUCKET_ROWS = 5000
+BUCKET_ROWS = 1000
 SEED = 42
 
 
