@@ -199,10 +199,11 @@ def _repeated(contents: DataFrame, window: int) -> DataFrame:
 
 
 def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``docs`` under a key ``row``, and ``row, hits`` with the repeated windows of those that have any:
-    ``hits`` holds a ``place`` and a ``mask`` of the windows from there on."""
-    keyed = docs.withColumn("row", F.xxhash64(F.lit(3), F.col(id_col), F.col(text_col)))
-    texts = keyed.select("row", F.col(text_col).alias("text"))
+    """The rows of ``docs`` as ``row, others, text``, with a key and all other columns in one, so that no name can clash; and ``row, marks``
+    with the repeated windows of those that have any: ``marks`` holds a ``place`` and a ``mask`` of the windows from there on."""
+    others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col))
+    keyed = docs.select(F.xxhash64(F.lit(3), id_col, text_col).alias("row"), others.alias("others"), F.col(text_col).alias("text"))
+    texts = keyed.select("row", "text")
     anchors = _anchors(texts, window)
     counts = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     repeated = anchors.join(counts, "anchor").select("row", F.struct("anchor", "run", (F.col("n") > HOT).alias("hot")).alias("hit"))
@@ -221,29 +222,28 @@ def covered(n_words: int, place: np.ndarray, mask: np.ndarray, window: int) -> n
     return np.cumsum(edges[:n_words]) > 0
 
 
-def _joined(keyed: DataFrame, marks: DataFrame, text_col: str, others: list[str]) -> DataFrame:
-    """Rows beside their marks. Texts are compressed for the shuffle; other columns go along."""
+def _joined(keyed: DataFrame, marks: DataFrame) -> DataFrame:
+    """``row, others, size, packed, marks``: rows beside their marks. Texts are compressed for the shuffle."""
     marks = stage(marks)
 
     def pack(batches):
         codec = pa.Codec("zstd")
         for whole in batches:
-            for batch in slices(whole, "text_"):
-                texts = [None if x is None else x.encode() for x in batch.column("text_").to_pylist()]
+            for batch in slices(whole, "text"):
+                texts = [None if x is None else x.encode() for x in batch.column("text").to_pylist()]
                 packed = [None if x is None else codec.compress(x, asbytes=True) for x in texts]
-                arrays = [*batch.columns[:-1], pa.array([len(x or b"") for x in texts], LONG), pa.array(packed, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names[:-1], "size_", "packed_"])
+                arrays = [batch.column("row"), batch.column("others"), pa.array([len(x or b"") for x in texts], LONG), pa.array(packed, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["row", "others", "size", "packed"])
 
-    rows = keyed.select("row", *others, F.col(text_col).alias("text_"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(pack, f"{kinds}, size_ bigint, packed_ binary").join(marks, "row", "left")
+    others = keyed.schema["others"].dataType.simpleString()
+    return keyed.mapInArrow(pack, f"row bigint, others {others}, size bigint, packed binary").join(marks, "row", "left")
 
 
 def _kept(batch: pa.RecordBatch, window: int) -> Iterator[tuple[int, int, str | None]]:
     """Number of words, number of removed words, and the kept words joined by one space (None for a null text)."""
     codec = pa.Codec("zstd")
     bounds, (place, mask) = flat(batch.column("marks"), ("place", "mask"))
-    for i, (size, packed) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("size_", "packed_")), strict=True)):
+    for i, (size, packed) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("size", "packed")), strict=True)):
         if packed is None:
             yield 0, 0, None
             continue
@@ -260,34 +260,35 @@ def _kept(batch: pa.RecordBatch, window: int) -> Iterator[tuple[int, int, str |
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` for every row."""
-    keyed, marks = mark(docs, id_col, text_col, window)
-    rows = _joined(keyed, marks, text_col, [id_col])
-    id_type = docs.schema[id_col].dataType.simpleString()
+    keyed, marks = mark(docs.select(id_col, text_col), id_col, text_col, window)
+    rows = _joined(keyed, marks)
+    others = keyed.schema["others"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             found = list(_kept(batch, window))
             digest = [hashlib.sha256((text or "").encode()).hexdigest() for _, _, text in found]
-            arrays = [batch.column(id_col), *(pa.array([f[i] for f in found], LONG) for i in (0, 1)), pa.array(digest, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, [id_col, "n_words", "n_removed", "kept_sha256"])
+            arrays = [batch.column("others"), *(pa.array([f[i] for f in found], LONG) for i in (0, 1)), pa.array(digest, pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, ["others", "n_words", "n_removed", "kept_sha256"])
 
-    return rows.mapInArrow(run, f"{id_col} {id_type}, n_words bigint, n_removed bigint, kept_sha256 string")
+    counted = rows.mapInArrow(run, f"others {others}, n_words bigint, n_removed bigint, kept_sha256 string")
+    return counted.select("others.*", "n_words", "n_removed", "kept_sha256")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35) -> DataFrame:
     """``docs`` with the repeated words taken out of the texts that have any; other texts stay as they are."""
-    others = [c for c in docs.columns if c != text_col]
     keyed, marks = mark(docs, id_col, text_col, window)
-    rows = _joined(keyed, marks, text_col, others)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*others).schema.fields)
+    rows = _joined(keyed, marks)
+    others = keyed.schema["others"].dataType.simpleString()
 
     def run(batches):
         codec = pa.Codec("zstd")
         for batch in batches:
             texts = []
-            columns = (batch.column(c).to_pylist() for c in ("size_", "packed_"))
+            columns = (batch.column(c).to_pylist() for c in ("size", "packed"))
             for (_, removed, text), size, packed in zip(_kept(batch, window), *columns, strict=True):
                 texts.append(text if removed or packed is None else codec.decompress(packed, size, asbytes=True).decode())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(texts, pa.string())], [*others, "text_"])
+            yield pa.RecordBatch.from_arrays([batch.column("others"), pa.array(texts, pa.string())], ["others", "text"])
 
-    return rows.mapInArrow(run, f"{kinds}, text_ string").withColumnRenamed("text_", text_col).select(*docs.columns)
+    cleaned = rows.mapInArrow(run, f"others {others}, text string")
+    return cleaned.select(*(F.col("text").alias(c) if c == text_col else F.col(f"others.`{c}`") for c in docs.columns))
