@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldloom.llm import decontamination, fingerprints, language, licenses, mixing, ngram_join, quality, substring_dedup, toxicity, warc
+from foldloom.llm import decontamination, fingerprints, language, licenses, manifest, mixing, ngram_join, quality, substring_dedup, toxicity, warc
 from foldloom.llm.tables import held_out, table
 from foldloom.storage import new_folder
 
@@ -82,3 +82,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents", "doc_id", "source"))
+
+
+@query
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"), new_folder(spark))
+
+
+ORACLES["op13_manifest"] = manifest.oracle()
