@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldloom.llm import decontamination, fingerprints, language, licenses, manifest, mixing, ngram_join, quality, substring_dedup, toxicity, warc
+from foldloom.llm import (
+    decontamination, fingerprints, hyperminhash, language, licenses, manifest, mixing, ngram_join, quality, substring_dedup, token_alignment,
+    toxicity, warc,
+)
 from foldloom.llm.tables import held_out, table
 from foldloom.storage import new_folder
 
+# Where the vocabulary files of the public tokenizers are.
+TOKENIZERS = "/opt/tokenizers"
+
 QUERIES = {}
 ORACLES = {}
 
@@ -84,6 +90,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents", "doc_id", "source"))
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_alignment.alignment(docs, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+@query
+def op12_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(table(spark, sf_dir, "documents"), new_folder(spark))
