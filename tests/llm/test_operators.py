@@ -9,8 +9,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from foldloom.llm import decontamination, fingerprints, language, licenses, mixing, ngram_join, quality, substring_dedup, toxicity, warc
+from foldloom.llm import components, decontamination, fingerprints, language, licenses, mixing, ngram_join, quality, substring_dedup, toxicity, warc
 from foldloom.llm.components import connected
 from foldloom.llm.fm_index import FMIndex
 
@@ -123,10 +124,17 @@ def test_bitmaps_never_exceed_the_difference():
         assert apart <= len(np.setxor1d(a, b))
 
 
-def test_components(spark):
-    links = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(50, 40), (40, 60), (60, 60)], "a bigint, b bigint")
-    got = {r.node: r.component for r in connected(links).collect()}
-    assert got == {**dict.fromkeys(range(21), 0), 40: 40, 50: 40, 60: 40}
+@pytest.mark.parametrize("task_links", [200_000, 7])
+def test_components(spark, monkeypatch, task_links):
+    monkeypatch.setattr(components, "TASK_LINKS", task_links)
+    pairs = [(i, i + 1) for i in range(20)] + [(50, 40), (40, 60), (60, 60), (70, 70), (40, 50)] + [(90, 100 + i) for i in range(30)]
+    want = {**dict.fromkeys(range(21), 0), 40: 40, 50: 40, 60: 40, 90: 90, **{100 + i: 90 for i in range(30)}}
+    links = spark.createDataFrame(pairs, "a bigint, b bigint")
+    rows = connected(links).collect()
+    assert {r.node: r.component for r in rows} == want and len(rows) == len(want)
+    named = links.select(*[F.unhex(F.format_string("%04d", c)).alias(c) for c in "ab"])
+    assert {bytes(r.node).hex(): bytes(r.component).hex() for r in connected(named).collect()} == {f"{k:04d}": f"{v:04d}" for k, v in want.items()}
+    assert connected(links.limit(0)).count() == 0
 
 
 def test_substring_dedup(docs, rows, empty):
