@@ -1,11 +1,15 @@
 """Writing pools and fold tables."""
 
-from pyspark.sql import DataFrame
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldloom.operators.folds import N_FOLDS
-from foldloom.operators.pools import rotate
-from foldloom.storage import drop_folder
+from foldloom.operators.pools import SPLITS, rotate
+from foldloom.storage import replacement
 
 
 def corpus_folder(root: str, task: str, corpus: str, layout: str = "hive") -> str:
@@ -25,45 +29,79 @@ def pool_folder(root: str, task: str, corpus: str, k: str, split: str, layout: s
     return f"{folder}/k={k}/split={split}" if layout == "hive" else f"{folder}/{k}/{split}.jsonl"
 
 
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+_open_writes: dict[int, tuple[int, str | None]] = {}
+_lock = threading.Lock()
+
+
+@contextmanager
+def unsorted_write(spark: SparkSession, places: int) -> Iterator[None]:
+    """Let a task hold a file open for each of ``places`` output folders, so that rows need no sort before a write.
+
+    The setting belongs to the session. Writes of several threads share it: the first raises it, the last puts it back.
+    """
+    key = id(spark)
+    with _lock:
+        n, before = _open_writes.get(key, (0, spark.conf.get(_WRITERS, None)))
+        _open_writes[key] = n + 1, before
+        if int(spark.conf.get(_WRITERS, None) or 0) < places:
+            spark.conf.set(_WRITERS, places)
+    try:
+        yield
+    finally:
+        with _lock:
+            n, before = _open_writes.pop(key)
+            if n > 1:
+                _open_writes[key] = n - 1, before
+            elif before is None:
+                spark.conf.unset(_WRITERS)
+            else:
+                spark.conf.set(_WRITERS, before)
+
+
 def write_pools(
     folded: DataFrame, root: str, task: str, corpus: str, n_folds: int = N_FOLDS, rebalance: bool = False
 ) -> str:
     """Replace the pools of one corpus by JSON lines under ``k=../split=..``.
 
-    The overwrite is static, so a split that has become empty does not leave old files behind, and
-    it is limited to the folder of this corpus. Rows are repeated once per rotation inside the writing
-    task and are not shuffled for it. ``rebalance`` first gathers the rows of a fold into
-    tasks of even size, for an input with many small partitions.
+    The new tree is written next to the old one and takes its place as a whole, so a split or rotation that has become empty
+    leaves no old files behind, and a write that fails leaves the old tree. Rows are repeated once per rotation inside the writing
+    task, which holds one open file for each pool; they are neither shuffled nor sorted for it. ``rebalance`` first gathers the rows of
+    a fold into tasks of even size, for an input with many small partitions.
     """
     rows = folded.select("text", "label", "fold")
     if rebalance:
         rows = rows.hint("rebalance", "fold")
     folder = corpus_folder(root, task, corpus)
     pools = rotate(rows, n_folds).select("k", "split", "text", "label")
-    pools.write.mode("overwrite").partitionBy("k", "split").json(folder)
+    spark = folded.sparkSession
+    with replacement(spark, folder) as new, unsorted_write(spark, len(SPLITS) * n_folds):
+        pools.write.partitionBy("k", "split").json(new)
     return folder
 
 
-def write_fold_table(folded: DataFrame, root: str, task: str, corpus: str) -> str:
+def write_fold_table(folded: DataFrame, root: str, task: str, corpus: str, n_folds: int = N_FOLDS) -> str:
     """The corpus stored once, by fold; ``rotate`` over it gives the pools as a view."""
     folder = corpus_folder(root, task, corpus)
-    folded.select("fold", "row_id", "text", "label", "order_key").write.mode("overwrite").partitionBy(
-        "fold"
-    ).parquet(folder)
+    rows = folded.select("fold", "row_id", "text", "label", "order_key")
+    spark = folded.sparkSession
+    with replacement(spark, folder) as new, unsorted_write(spark, n_folds):
+        rows.write.partitionBy("fold").parquet(new)
     return folder
 
 
 def write_few_shot_tree(stored: DataFrame, root: str, task: str, corpus: str, n_folds: int = N_FOLDS) -> str:
     """Replace the pools of one corpus by ``few_shot/{kk}/{split}.jsonl``, each of them a folder of lines.
 
-    ``stored`` is a fold table read back: every pool is a scan of its folds alone, without shuffle or sort. The folder of
-    the corpus is cleared first, so that no rotation of an earlier run with more folds stays.
+    ``stored`` is a fold table read back: every pool is a scan of its folds alone, without shuffle or sort. All pools are written to a
+    sibling folder first, which then takes the place of the old one.
     """
-    drop_folder(stored.sparkSession, corpus_folder(root, task, corpus, "few_shot"))
-    for k in range(1, n_folds + 1):
-        following = k % n_folds + 1
-        rest = [fold for fold in range(1, n_folds + 1) if fold not in (k, following)]
-        for split, folds in (("test", [k]), ("valid", [following]), ("train", rest)):
-            pool = stored.where(F.col("fold").isin(folds)).select("text", "label")
-            pool.write.mode("overwrite").json(pool_folder(root, task, corpus, f"{k:02d}", split, "few_shot"))
-    return corpus_folder(root, task, corpus, "few_shot")
+    folder = corpus_folder(root, task, corpus, "few_shot")
+    with replacement(stored.sparkSession, folder) as new:
+        for k in range(1, n_folds + 1):
+            following = k % n_folds + 1
+            rest = [fold for fold in range(1, n_folds + 1) if fold not in (k, following)]
+            for split, folds in (("test", [k]), ("valid", [following]), ("train", rest)):
+                pool = stored.where(F.col("fold").isin(folds)).select("text", "label")
+                pool.write.json(f"{new}/{k:02d}/{split}.jsonl")
+    return folder

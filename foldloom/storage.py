@@ -38,6 +38,50 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(folder).getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+@contextmanager
+def replacement(spark: SparkSession, folder: str) -> Iterator[str]:
+    """A sibling to write to, which takes the place of ``folder`` by rename when the block ends well.
+
+    After an error the old folder is as it was. Both hidden names are fixed, so what a run that was killed has left is put right by the
+    next one: between the two renames the old folder is still there under its hidden name. On a store without a rename of folders the swap takes
+    as long as a copy. Two runs must not replace one folder at the same time.
+    """
+    parent, name = folder.rstrip("/").rsplit("/", 1)
+    new, old = f"{parent}/.new.{name}", f"{parent}/.old.{name}"
+    files, path = _file_system(spark, folder)
+
+    def move(source: str, target: str) -> None:
+        if not files.rename(path(source), path(target)):
+            raise OSError(f"cannot rename {source} to {target}")
+
+    if files.exists(path(old)):
+        if files.exists(path(folder)):
+            drop_folder(spark, old)
+        else:
+            move(old, folder)
+    drop_folder(spark, new)
+    try:
+        yield new
+        there = files.exists(path(folder))
+        if there:
+            move(folder, old)
+        try:
+            move(new, folder)
+        except Exception:
+            if there:
+                move(old, folder)
+            raise
+    except BaseException:
+        drop_folder(spark, new)
+        raise
+    drop_folder(spark, old)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[str]:
     """A fresh shared folder that is gone when the block ends, also after an error."""
