@@ -18,6 +18,8 @@ from foldloom.operators.dedup import dedup_first
 
 N_FOLDS = 5
 BUCKET_BYTES = 2
+CLASS_PART_DIGITS = 2
+CLASS_PARTS = 16**CLASS_PART_DIGITS
 
 
 def _bucket() -> Column:
@@ -50,6 +52,34 @@ def _rows_below(position: Column, residue: int, n_folds: int) -> Column:
     return F.floor((position + (n_folds - 1 - residue)) / n_folds)
 
 
+def class_key(stratum: Column) -> Column:
+    """What classes are ordered by: a digest of the label, so that any prefix of it deals classes out evenly."""
+    return F.md5(F.coalesce(F.concat(F.lit("="), stratum.cast("string")), F.lit("")).cast("binary"))
+
+
+def _rows_of_earlier_classes(sizes: DataFrame, outer: Sequence[str], stratum: str) -> DataFrame:
+    """``_offset`` of every class: the rows of the classes before it in its group.
+
+    Classes are summed inside the parts of the digest's order and shifted by the parts before, of which a group has
+    ``CLASS_PARTS`` at most, so that no task holds all classes of an open label set.
+    """
+    key = class_key(F.col(stratum))
+    keyed = sizes.withColumn("_key", key).withColumn("_part", F.substring("_key", 1, CLASS_PART_DIGITS))
+    inside = Window.partitionBy(*outer, "_part").orderBy("_key")
+    summed = keyed.withColumn("_within", F.sum("_n").over(inside) - F.col("_n"))
+    parts = keyed.groupBy(*outer, "_part").agg(F.sum("_n").alias("_n"))
+    lists = parts.groupBy(*outer).agg(F.collect_list(F.struct("_part", "_n")).alias("_parts"))
+    if outer:
+        listed = null_safe_join(parts, lists, outer)
+    else:
+        listed = parts.withColumn("_parts", lists.select("_parts").scalar())
+    earlier = F.filter("_parts", lambda p: p["_part"] < F.col("_part"))
+    total = F.aggregate(earlier, F.lit(0).cast("bigint"), lambda n, p: n + p["_n"])
+    starts = listed.select(*outer, "_part", total.alias("_start"))
+    placed = null_safe_join(summed, starts, [*outer, "_part"])
+    return placed.select(*outer, stratum, (F.col("_start") + F.col("_within")).alias("_offset"))
+
+
 def fold_limits(
     keys: DataFrame,
     within: Sequence[str] = (),
@@ -60,7 +90,7 @@ def fold_limits(
     """The keys ``limit_1 ..`` at which the folds 2 .. n_folds begin, per group and stratum.
 
     Fold sizes come from dealing the places of the whole group out in turn, with the strata one after
-    another in label order. Inside a stratum the counts differ by at most one, and so do the totals.
+    another in the order of a digest of the label. Inside a stratum the counts differ by at most one, and so do the totals.
     Without strata this is the even contiguous split whose first ``n mod n_folds`` folds have one more.
     A limit is null when no row lies behind it.
     """
@@ -73,9 +103,7 @@ def fold_limits(
     )
     if stratum:
         sizes = counts.groupBy(*group).agg(F.sum("_n").alias("_n"))
-        earlier = Window.partitionBy(*outer).orderBy(stratum)
-        offsets = sizes.select(*group, (F.sum("_n").over(earlier) - F.col("_n")).alias("_offset"))
-        runs = null_safe_join(runs, offsets, group)
+        runs = null_safe_join(runs, _rows_of_earlier_classes(sizes, outer, stratum), group)
     else:
         runs = runs.withColumn("_offset", F.lit(0).cast("bigint"))
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from foldloom.operators.dedup import dedup_first, dedup_stats
+from foldloom.operators.dedup import dedup_first, dedup_stats, with_order_key
 from foldloom.operators.folds import dedup_and_fold, seeded_position, small_strata
 from foldloom.operators.pools import few_shot, rotate, split_sizes
 from foldloom.plans.corpus import build_corpora
@@ -50,7 +50,7 @@ def folds_stratified(spark, sf_dir):
 
 STRATIFIED_SQL = f"""
 {FOLDED_SQL},
-classes AS (SELECT lang, count(*) AS n, sum(count(*)) OVER (ORDER BY lang) - count(*) AS first FROM uniq GROUP BY lang),
+classes AS (SELECT lang, count(*) AS n, sum(count(*)) OVER (ORDER BY md5('=' || lang)) - count(*) AS first FROM uniq GROUP BY lang),
 upto AS (
   SELECT lang, i, sum((first + n - i + 4) // 5 - (first - i + 4) // 5) OVER (PARTITION BY lang ORDER BY i) AS rows_upto
   FROM classes, range(0, 4) AS r(i)),
@@ -62,6 +62,29 @@ strat AS (
 FOLDS_STRATIFIED_SQL = f"WITH {STRATIFIED_SQL} SELECT doc_id, lang AS label, fold FROM strat"
 
 
+def folds_open_labels(spark, sf_dir):
+    """Line items with part and supplier as the label: about as many classes as rows, most of them smaller than the folds."""
+    key = F.concat_ws("/", "l_orderkey", "l_linenumber").alias("text")
+    rows = table(spark, sf_dir, "lineitem", key, F.concat_ws("/", "l_partkey", "l_suppkey").alias("label"))
+    # Some keys occur twice: the smaller label stays.
+    folded = dedup_and_fold(with_order_key(rows.withColumn("row_id", F.col("label"))), "stratified")
+    return folded.select("text", "label", "fold")
+
+
+FOLDS_OPEN_LABELS_SQL = """
+WITH rows AS (
+  SELECT l_orderkey || '/' || l_linenumber AS text, min(l_partkey || '/' || l_suppkey) AS label
+  FROM lineitem GROUP BY ALL),
+placed AS (
+  SELECT text, label, count(*) OVER (PARTITION BY label) AS n,
+         row_number() OVER (PARTITION BY label ORDER BY sha256('42|' || text)) - 1 AS p,
+         row_number() OVER (ORDER BY md5('=' || label), sha256('42|' || text)) - 1 AS place FROM rows),
+shares AS (SELECT text, label, p, f, (place - p + n - f + 4) // 5 - (place - p - f + 4) // 5 AS share FROM placed, range(0, 5) AS r(f)),
+upto AS (SELECT text, label, p, f, sum(share) OVER (PARTITION BY text ORDER BY f) AS upto FROM shares)
+SELECT text, label, CAST(1 + count(*) FILTER (WHERE upto <= p) AS INTEGER) AS fold FROM upto GROUP BY text, label
+"""
+
+
 def strata_report(spark, sf_dir):
     """Classes too small for the folds: here the lengths of parts' names as classes of brands."""
     parts = table(spark, sf_dir, "part", "p_brand", F.concat_ws("/", "p_type", "p_size").alias("label"))
@@ -144,6 +167,7 @@ QUERIES = {
     "seeded_shuffle": (seeded_shuffle, SEEDED_SHUFFLE_SQL),
     "folds_contiguous": (folds_contiguous, FOLDS_CONTIGUOUS_SQL),
     "folds_stratified": (folds_stratified, FOLDS_STRATIFIED_SQL),
+    "folds_open_labels": (folds_open_labels, FOLDS_OPEN_LABELS_SQL),
     "small_strata": (strata_report, STRATA_REPORT_SQL),
     "cv_rotation": (cv_rotation, CV_ROTATION_SQL),
     "split_sizes": (pool_sizes, POOL_SIZES_SQL),

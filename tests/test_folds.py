@@ -39,13 +39,13 @@ def brute_contiguous(rows):
 
 
 def brute_stratified(rows):
-    """Deal the classes, in label order one after another, out to the folds in turn; then cut each class in its seeded order."""
+    """Deal the classes, in the order of their digests one after another, out to the folds in turn; then cut each class in its seeded order."""
     kept = survivors(rows)
     classes = defaultdict(list)
     for text, (_, label) in kept.items():
         classes[label].append(text)
     folds, place = {}, 0
-    for label in sorted(classes):
+    for label in sorted(classes, key=lambda label: hashlib.md5(f"={label}".encode()).hexdigest()):
         share = Counter((place + i) % 5 for i in range(len(classes[label])))
         place += len(classes[label])
         texts = iter(classes[label])
