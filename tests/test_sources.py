@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foldloom.plans.spec import Converted, CorpusSpec, Delimited, JsonLines
-from foldloom.sources.delimited import choose_encoding, choose_separator, scan_delimited
+from foldloom.sources.delimited import file_layouts, scan_delimited
 from foldloom.sources.inputs import scan_inputs
 from foldloom.sources.jsonl import scan_jsonl
 from foldloom.operators.dedup import dedup_first, with_order_key
@@ -61,9 +61,9 @@ def test_arrow_separator(spark, file):
 def test_separator_fallback(spark, file):
     source = Delimited(fallback_sep="\t")
     tabbed = file("a.tsv", "Question\tSubject\nwhat, where\tlaw\n")
-    assert choose_separator(spark, tabbed, source, ["Question", "Subject"]) == "\t"
+    assert [layout.sep for layout in file_layouts(spark, tabbed, ["Question", "Subject"], source)] == ["\t"]
     assert rows(scan_delimited(spark, tabbed, ["Question", "Subject"], source), "Question", "Subject") == [("what, where", "law")]
-    assert choose_separator(spark, tabbed, COMMA, ["Question"]) is None
+    assert file_layouts(spark, tabbed, ["Question"], COMMA) is None
     assert scan_delimited(spark, tabbed, ["Question", "Nothing"], source) is None
     assert scan_delimited(spark, tabbed + ".absent", ["Question"], source) is None
 
@@ -72,10 +72,64 @@ def test_separator_fallback(spark, file):
 def test_encoding_fallback(spark, file, encoding, chosen):
     source = Delimited(fallback_encoding="ISO-8859-1")
     path = file("a.csv", "review_text,polarity\nação boa,1\n".encode(encoding))
-    assert choose_encoding(spark, path, source) == chosen
+    assert [layout.encoding for layout in file_layouts(spark, path, ["review_text"], source)] == [chosen]
     assert rows(scan_delimited(spark, path, ["review_text"], source), "review_text") == [("ação boa",)]
 
 
+LATIN = Delimited(fallback_sep="\t", fallback_encoding="ISO-8859-1")
+
+
+def test_every_file_has_its_own_header_encoding_and_separator(spark, file, tmp_path):
+    (tmp_path / "in [1] {a}").mkdir()
+    parts = {
+        "p0 á.csv": "text,label\nação,a\n".encode(), "p1.csv": "label,other,text\nb,x,mãe\nb,x,\n".encode("latin-1"),
+        "p2%20.csv": '"text"\tlabel\n"a\tb, c"\tç\n'.encode(), "p[3].csv": "\ufefflabel,text,text\nc,first,second\n".encode(), "p4.csv": b"",
+        "p5.csv": b'\n\n"more\nlines",text,label\nx,deep,d\nx,long,d,e\n', "p6.csv": "rótulo,label,text\nx,e,pão\n".encode("latin-1"),
+        "p7.csv": b"text,label\nshort\n", "p8.csv": b"text,label\n",
+    }
+    for name, content in parts.items():
+        (tmp_path / "in [1] {a}" / name).write_bytes(content)
+    path = str(tmp_path / "in *")
+    scan = scan_delimited(spark, path, ["text", "label"], LATIN)
+    got = sorted(map(tuple, scan.select("text", "label", "fault").collect()), key=str)
+    assert got == sorted([
+        ("ação", "a", None), ("mãe", "b", None), (None, "b", None), ("a\tb, c", "ç", None), ("first", "c", None),
+        ("deep", "d", None), ("long", "d", "ragged"), ("pão", "e", None), ("short", None, None),
+    ], key=str)
+    layouts = file_layouts(spark, path, ["text", "label"], LATIN)
+    assert sorted(len(files) for files in layouts.values()) == [1, 1, 1, 1, 1, 3]
+    (tmp_path / "in [1] {a}" / "p9.csv").write_text("text,other\nx,y\n")
+    assert scan_delimited(spark, path, ["text", "label"], LATIN) is None
+
+
+def test_files_of_other_layouts_are_not_read(spark, tmp_path):
+    for i in range(6):
+        (tmp_path / f"p{i}.csv").write_bytes(("text,label\n" if i else "label,text\n").encode() + f"t{i},t{i}\n".encode())
+    scan = scan_delimited(spark, str(tmp_path), ["text", "label"], COMMA)
+    assert sorted(r.text for r in scan.collect()) == [f"t{i}" for i in range(6)]
+    assert scan.rdd.getNumPartitions() <= 6 and len(scan.where("row_id.input_no = 0").select("text").inputFiles()) == 6
+    files = scan._jdf.queryExecution().executedPlan().toString()
+    assert files.count("FileScan csv") == 2
+
+
+def test_headers_of_a_single_file(spark, file):
+    path = file("a.csv", '"two\nlines",text,label,text\nx,a,b,c\ny,a,b,c,d\n')
+    assert rows(scan_delimited(spark, path, ["text", "label"], COMMA), "text", "label", "fault") == [("a", "b", None), ("a", "b", "ragged")]
+    assert scan_delimited(spark, file("b.csv", ""), ["text"], COMMA) is None
+    assert scan_delimited(spark, file("c.csv", b""), ["text"], LATIN) is None
+
+
+def test_long_quoted_fields(spark, file):
+    """Rows of about a million characters in quotes, sound, short and over-long ones."""
+    long = 'a ""b"", c\n' * 90_000
+    path = file("a.csv", f'text,label\n"{long}",x\n"{long}"\n"{long}",x,y\n')
+    scan = scan_delimited(spark, path, ["text", "label"], COMMA)
+    text = long.replace('""', '"')
+    assert [(len(t), t == text, label, fault) for t, label, fault in rows(scan, "text", "label", "fault")] == [
+        (len(text), True, "x", None), (len(text), True, None, None), (len(text), True, "x", "ragged")
+    ]
+
+
 def test_bad_json_lines(spark, file):
     lines = ['{"t": "a", "l": "x", "z": 1}', "{bad", "", "123", '{"t": "b"}', '{"t": null, "l": "y"}', '{"t": "ção/", "l": "y"}']
     scan = scan_jsonl(spark, file("a.jsonl", "\n".join(lines)), ["t", "l"], JsonLines())
