@@ -14,11 +14,12 @@ from foldloom.plans.spec import CorpusSpec
 FATAL = {"not_an_integer": "BAD_LABEL_TYPE", "ragged": "RAGGED"}
 
 
-def tag_rows(raw: DataFrame, spec: CorpusSpec) -> DataFrame:
+def tag_rows(raw: DataFrame, spec: CorpusSpec, with_unmapped: bool = False) -> DataFrame:
     """``(row_id, text, label, reject_reason)`` of all raw rows; the reason is null for good rows.
 
     ``raw`` holds the columns the spec names as strings and a ``row_id``; a scan may add
-    ``fault``, its own reason to reject a row.
+    ``fault``, its own reason to reject a row, and ``lacks``, the needed columns that a row does not have, which is kept. ``with_unmapped``
+    adds ``unmapped``, the label of a row that has nothing else against it if the spec's vocabulary lacks it.
     """
     text = F.col(spec.text_column)
     if spec.title_column:
@@ -29,6 +30,7 @@ def tag_rows(raw: DataFrame, spec: CorpusSpec) -> DataFrame:
         text = strip(text)
 
     raw_label = F.col(spec.label_column)
+    unmapped = F.lit(None).cast("string")
     mapping = dict(spec.labels or {})
     rejects = [("null_text", text.isNull())]
     if spec.drop_blank_text:
@@ -47,6 +49,8 @@ def tag_rows(raw: DataFrame, spec: CorpusSpec) -> DataFrame:
         label = raw_label
         if spec.admitted is not None:
             rejects.append(("label_not_admitted", ~is_admitted(raw_label, spec.admitted)))
+        if mapping:
+            unmapped = F.when(~is_admitted(raw_label, mapping), raw_label)
         if mapping and spec.keep_unmapped:
             label = mapped_or_kept(raw_label, mapping)
         elif mapping:
@@ -56,13 +60,15 @@ def tag_rows(raw: DataFrame, spec: CorpusSpec) -> DataFrame:
     reasons = [F.when(condition, F.lit(name)) for name, condition in rejects]
     if "fault" in raw.columns:
         reasons.insert(0, F.col("fault"))
-    return raw.select(
-        "row_id", text.alias("text"), label.cast("string").alias("label"), F.coalesce(*reasons).alias("reject_reason")
-    )
+    reason = F.coalesce(*reasons)
+    more = [F.col("lacks")] if "lacks" in raw.columns else []
+    if with_unmapped:
+        more.append(F.when(F.coalesce(reason, F.lit("label_unmapped")) == "label_unmapped", unmapped).alias("unmapped"))
+    return raw.select("row_id", text.alias("text"), label.cast("string").alias("label"), reason.alias("reject_reason"), *more)
 
 
 def kept_rows(tagged: DataFrame) -> DataFrame:
-    return tagged.where("reject_reason IS NULL").drop("reject_reason")
+    return tagged.where("reject_reason IS NULL").drop("reject_reason", "lacks", "unmapped")
 
 
 def reject_report(tagged: DataFrame, within: Sequence[str] = ()) -> DataFrame:
@@ -72,11 +78,13 @@ def reject_report(tagged: DataFrame, within: Sequence[str] = ()) -> DataFrame:
 
 
 def corpus_gate(tagged: DataFrame, within: Sequence[str] = ("corpus",)) -> DataFrame:
-    """One status per corpus: a fatal finding beats EMPTY beats OK."""
+    """One status per corpus: a column that no row has beats a fatal finding beats EMPTY beats OK."""
     reason = F.col("reject_reason")
     status = F.when(F.count_if(reason.isNull()) == 0, "EMPTY").otherwise("OK")
     for name, verdict in FATAL.items():
         status = F.when(F.count_if(reason == name) > 0, verdict).otherwise(status)
+    if "lacks" in tagged.columns:
+        status = F.when(F.bit_and("lacks") != 0, "MISSING_COLUMNS").otherwise(status)
     return tagged.groupBy(*within).agg(
         F.count("*").alias("rows_in"), F.count_if(reason.isNull()).alias("rows_kept"), status.alias("status")
     )

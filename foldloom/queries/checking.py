@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from foldloom.operators import checks
 from foldloom.operators.folds import dedup_and_fold
-from foldloom.operators.pools import rotate
+from foldloom.operators.pools import SPLITS, rotate
+from foldloom.queries.folding import STRATIFIED_SQL
 from foldloom.queries.tables import FOLDED_SQL, documents, rotated_sql, table
-from foldloom.sources.pools import parse_lines, pool_rows, record_facts
-from foldloom.storage import stage
+from foldloom.sources.pools import parse_lines, pool_rows, record_facts, scan_lines
+from foldloom.storage import new_folder, stage
 
 SHOWN = ["k", "split", "check", "severity", "n"]
 
@@ -32,10 +33,10 @@ pools AS ({rotated_sql('raw', 'text, label')})
 FAULTY_LINE = """
 CASE source WHEN 'src0' THEN concat('{"text": ', doc_id, ', "label": "', lang, '"}')
             WHEN 'src1' THEN concat('{"label": "', lang, '"}')
-            WHEN 'src2' THEN concat('{"text": "', source, '", "label": null}')
+            WHEN 'src2' THEN concat(substring(sound, 1, length(sound) - length(lang) - 3), 'null}')
             WHEN 'src3' THEN concat('{"text": "  ", "label": "', lang, '"}')
-            WHEN 'src4' THEN concat('{"text": "', source, '", "label": "', lang, '", "id": ', doc_id, '}')
-            WHEN 'src5' THEN concat('{"text": "', source, '", ')
+            WHEN 'src4' THEN concat(substring(sound, 1, length(sound) - 1), ', "id": ', doc_id, '}')
+            WHEN 'src5' THEN substring(sound, 1, length(sound) - 1)
             WHEN 'src6' THEN concat('{"text": [], "label": "', lang, '"}')
             ELSE sound END
 """
@@ -282,18 +283,52 @@ def status_gate(spark, sf_dir):
 
 
 def check_clean_folds(spark, sf_dir):
-    """All checks over deduped and folded documents: only warnings about shares or labels may come."""
+    """What all checks have read of deduped and folded documents, and what they found: nothing but warnings about labels may come."""
     names = [F.lit("clean").alias("task"), F.lit("documents").alias("corpus")]
     folds = dedup_and_fold(documents(spark, sf_dir), "stratified").select(*names, "text", "label", "fold")
     facts = rotate(stage(record_facts(pool_rows(folds))))
-    issues = checks.all_issues(facts, examples=False)
-    return issues.agg(
-        F.count_if(F.col("severity") == "ERROR").alias("n_errors"),
-        F.count_if(F.col("check") == "split_share").alias("n_share_warnings"),
+    issues = checks.all_issues(facts, examples=False).groupBy("k", "split").agg(
+        F.count_if(F.col("severity") == "ERROR").alias("n_errors"), F.count_if(F.col("check") == "split_share").alias("n_share_warnings")
     )
+    texts = checks.text_presence(facts, examples=False)
+    read = texts.groupBy("k").agg(*[F.sum(f"in_{split}").alias(split) for split in SPLITS], F.count("*").alias("n_texts"))
+    rows = read.select("k", "n_texts", F.inline(F.array(*[F.struct(F.lit(split).alias("split"), F.col(split).alias("n_rows")) for split in SPLITS])))
+    found = rows.join(issues, ["k", "split"], "left")
+    return found.select("k", "split", "n_rows", "n_texts", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_errors", "n_share_warnings")])
+
+
+CHECK_CLEAN_FOLDS_SQL = f"""
+WITH {STRATIFIED_SQL},
+pools AS ({rotated_sql('strat JOIN uniq USING (doc_id)', 'text')}),
+sizes AS (SELECT k, split, count(*) AS n_rows FROM pools GROUP BY k, split),
+texts AS (SELECT k, count(DISTINCT text) AS n_texts FROM pools GROUP BY k),
+twice AS (SELECT k, split, count(*) - count(DISTINCT text) AS n FROM pools GROUP BY k, split)
+SELECT k, split, n_rows, n_texts, CAST(n > 0 AS BIGINT) AS n_errors,
+       CAST(abs(100 * n_rows / n_texts - CASE split WHEN 'train' THEN 60 ELSE 20 END) > 5 AS BIGINT) AS n_share_warnings
+FROM sizes JOIN texts USING (k) JOIN twice USING (k, split)
+"""
+
+
+def check_utf8(spark, sf_dir):
+    """Written lines of which some hold bytes that are not UTF-8, inside and outside of the JSON strings."""
+    root = new_folder(spark)
+    docs = table(spark, sf_dir, "documents", "text", "lang", "source")
+    sound = F.to_json(F.struct("text", F.col("lang").alias("label"))).cast("binary")
+    broken = F.expr(
+        """CASE source WHEN 'src1' THEN concat(binary('{"text": "'), unhex('E7E36F'), binary('", "label": "x"}'))
+                       WHEN 'src2' THEN concat(sound, unhex('C3')) WHEN 'src3' THEN unhex('FFFE') ELSE sound END"""
+    )
+    lines = docs.withColumn("sound", sound).select(F.expr(LANG_SPLIT).alias("split"), broken.cast("string").alias("value"))
+    # The text sink writes the bytes of a string as they are.
+    lines.write.partitionBy("split").text(f"{root}/task=raw/corpus=documents/k=01")
+    facts = record_facts(parse_lines(scan_lines(spark, root)))
+    return checks.place_issues(checks.profile(facts)).where("check <> 'split_share'").select(SHOWN)
 
 
-CHECK_CLEAN_FOLDS_SQL = "SELECT CAST(0 AS BIGINT) AS n_errors, CAST(0 AS BIGINT) AS n_share_warnings"
+CHECK_UTF8_SQL = f"""
+SELECT '01' AS k, {LANG_SPLIT} AS split, "check", 'ERROR' AS severity, count(*) AS n
+FROM documents, (VALUES ('bad_utf8'), ('bad_json')) AS v("check") WHERE source IN ('src1', 'src2', 'src3') GROUP BY ALL
+"""
 
 QUERIES = {
     "check_values": (check_values, CHECK_VALUES_SQL),
@@ -304,6 +339,7 @@ QUERIES = {
     "check_rotations": (check_rotations, f"WITH {FAULTY_SQL} {ROTATIONS_SQL}"),
     "check_presence": (check_presence, CHECK_PRESENCE_SQL),
     "check_clean_folds": (check_clean_folds, CHECK_CLEAN_FOLDS_SQL),
+    "check_utf8": (check_utf8, CHECK_UTF8_SQL),
     "corpus_status": (corpus_status, f"{STATUS_CTE} SELECT * FROM status"),
     "status_summary": (
         status_summary,

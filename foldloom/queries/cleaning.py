@@ -6,7 +6,7 @@ from foldloom.functions.json import truthy_string
 from foldloom.functions.labels import mapped, star_polarity
 from foldloom.functions.numeric import to_integer, to_number
 from foldloom.functions.text import first_item, is_blank, na_to_null, strip, title_and_body
-from foldloom.operators.cleaning import corpus_gate, drop_blank, reject_report, tag_rows
+from foldloom.operators.cleaning import corpus_gate, drop_blank, kept_rows, reject_report, tag_rows
 from foldloom.operators.labels import relabel_by_table, relabel_drop, relabel_keep, unmapped_report, whitelist
 from foldloom.plans.spec import CorpusSpec
 from foldloom.plans.vocabularies import OFFENSE, POLARITY
@@ -102,6 +102,22 @@ SELECT doc_id, label FROM (SELECT doc_id, trim(split_part({LABEL_LIST}, ',', 1))
 WHERE label <> ''
 """
 
+TURN_OR_NULL = "CASE WHEN turn % 3 = 1 THEN NULL ELSE text END"
+TWEETS = CorpusSpec("reviews", "tweets", [], "tweet", "role", null_text="nan", admitted=("user", "assistant"))
+
+
+def null_text_as_nan(spark, sf_dir):
+    """Missing texts as the text ``nan``, which older corpora hold."""
+    row_id = F.expr("conv_id * 1000 + turn").alias("row_id")
+    raw = table(spark, sf_dir, "conversations", row_id, F.expr(TURN_OR_NULL).alias("tweet"), "role")
+    return kept_rows(tag_rows(raw, TWEETS))
+
+
+NULL_TEXT_AS_NAN_SQL = f"""
+SELECT conv_id * 1000 + turn AS row_id, coalesce({TURN_OR_NULL}, 'nan') AS text, role AS label FROM conversations
+WHERE role IN ('user', 'assistant')
+"""
+
 BRAND_WITH_TOKENS = """
 CASE p_type WHEN 'ECONOMY' THEN 'NA' WHEN 'LARGE' THEN 'null' WHEN 'SMALL' THEN '' WHEN 'MEDIUM' THEN ' NA '
             WHEN 'STANDARD' THEN 'none' ELSE p_brand END
@@ -238,6 +254,7 @@ FROM r GROUP BY ALL
 
 QUERIES = {
     "clean_blank_null": (clean_blank_null, CLEAN_BLANK_NULL_SQL),
+    "null_text_as_nan": (null_text_as_nan, NULL_TEXT_AS_NAN_SQL),
     "title_body_concat": (title_body_concat, TITLE_BODY_CONCAT_SQL),
     "numeric_lenient": (numeric_lenient, NUMERIC_LENIENT_SQL),
     "numeric_strict_gate": (numeric_strict_gate, NUMERIC_STRICT_GATE_SQL),

@@ -1,13 +1,15 @@
 import json
+import os
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from foldloom.operators.dedup import with_order_key
 from foldloom.operators.folds import dedup_and_fold
 from foldloom.operators.pools import rotate
 from foldloom.operators.sinks import write_few_shot_tree, write_fold_table, write_pools
-from foldloom.plans.corpus import failed_count, run_corpora
+from foldloom.plans.corpus import failed_count, run_corpora, run_with_reports
 from foldloom.plans.registry import BY_NAME, SPECS
 from foldloom.plans.validation import validate_tree
 from foldloom.sources.pools import scan_lines
@@ -185,3 +187,65 @@ def test_plain_layout_keeps_empty_splits_as_files(spark, make_rows, tmp_path):
     checks = Counter(r.check for r in issues.collect())
     # Folds 3 to 5 are empty: as test set in three rotations, as valid set in three, as train set in the first.
     assert checks["empty_split"] == 7 and "missing_file" not in checks
+
+
+def write_lines(path, lines):
+    path.parent.mkdir(parents=True)
+    path.write_text("\n".join(json.dumps(line, ensure_ascii=False) if isinstance(line, dict) else line for line in lines))
+
+
+@pytest.mark.parametrize("layout", ["hive", "few_shot"])
+def test_reports_of_a_run(spark, tmp_path, layout):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    intents = [{"utt": f"t{i % 18}", "intent": ("play_game", "no such", "general_greet")[i % 3]} for i in range(36)]
+    write_lines(raw / "IntentPTCorpus" / "pt-PT.jsonl", [*intents, "{bad", {"utt": "x"}, {"intent": "other"}])
+    news = [{"Noticia": f"n{i}", "Categoria": ("saúde", "nenhuma", None)[i % 3]} for i in range(30)]
+    write_lines(raw / "RecognasummCorpus" / "train.jsonl", news)
+    write_raw(spark, raw, BY_NAME["HateBRCorpus"])
+    specs = [BY_NAME[name] for name in ("IntentPTCorpus", "RecognasummCorpus", "HateBRCorpus", "OlistCorpus")]
+    with run_with_reports(spark, specs, str(raw), str(out), layout=layout) as run:
+        status = {r.corpus: r.status for r in run.status.collect()}
+        got = {(r.corpus, r.report, r.item): r.n for r in run.reports.collect()}
+    assert status == {"IntentPTCorpus": "OK", "RecognasummCorpus": "OK", "HateBRCorpus": "OK", "OlistCorpus": "NO_INPUT"}
+    part = lambda corpus, report: {item: n for (c, r, item), n in got.items() if (c, r) == (corpus, report)}
+    assert part("IntentPTCorpus", "reject") == {"kept": 36, "bad_line": 1, "null_label": 1, "null_text": 1}
+    assert part("IntentPTCorpus", "unmapped") == {"no such": 12}
+    assert part("IntentPTCorpus", "dedup") == {"rows_before": 36, "rows_after": 18, "rows_removed": 18}
+    assert part("RecognasummCorpus", "reject") == {"kept": 10, "label_unmapped": 10, "null_label": 10}
+    assert part("RecognasummCorpus", "unmapped") == {"nenhuma": 10}
+    assert part("HateBRCorpus", "unmapped") == {}
+    for corpus, n in (("IntentPTCorpus", 18), ("RecognasummCorpus", 10), ("HateBRCorpus", N)):
+        written = Counter(f"{r.k}/{r.split}" for r in scan_lines(spark, str(out), layout).where(F.col("corpus") == corpus).collect())
+        assert written == part(corpus, "split_size") and sum(written.values()) == 5 * n
+    assert not [c for c, _, _ in got if c == "OlistCorpus"]
+
+
+def test_nothing_staged_stays_after_a_run(spark, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    raw = tmp_path / "raw"
+    write_raw(spark, raw, BY_NAME["IntentPTCorpus"])
+    before = set(os.listdir(shared))
+    with run_with_reports(spark, [BY_NAME["IntentPTCorpus"]], str(raw), str(tmp_path / "out")) as run:
+        assert run.status.first().status == "OK"
+    run_corpora(spark, [BY_NAME["IntentPTCorpus"]], str(raw), str(tmp_path / "out"))
+    assert set(os.listdir(shared)) == before
+
+
+def test_json_lines_without_a_column_are_not_taken_for_empty_ones(spark, tmp_path):
+    spec = BY_NAME["IntentPTCorpus"]
+    path = tmp_path / "raw" / spec.corpus / "pt-PT.jsonl"
+    path.parent.mkdir(parents=True)
+    cases = [
+        (['{"utt": "a"}', '{"utt": "b", "x": 1}', "{bad"], "MISSING_COLUMNS"), (['{"x": 1}'], "MISSING_COLUMNS"),
+        (['{"utt": "a"}', '{"intent": "b"}'], "EMPTY"), (["{bad"], "EMPTY"), ([""], "EMPTY"),
+    ]
+    for lines, expected in cases:
+        path.write_text("\n".join(lines))
+        assert [r.status for r in run_corpora(spark, [spec], str(tmp_path / "raw"), str(tmp_path / "out")).collect()] == [expected], lines
+
+
+def test_failed_runs_leave_pools_and_count(spark, tmp_path):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    write_raw(spark, raw, BY_NAME["HateBRCorpus"])
+    status = run_corpora(spark, [BY_NAME["HateBRCorpus"], BY_NAME["OlistCorpus"]], str(raw), str(out))
+    assert tuple(failed_count(status).first()) == (2, 1)
