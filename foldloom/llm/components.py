@@ -38,7 +38,9 @@ def _contracted(edges: DataFrame, parts: int) -> DataFrame:
             nodes = list(parent)
             yield pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array([root(node) for node in nodes], kind)], ["u", "v"])
 
-    return edges.repartition(parts, "u", "v").mapInArrow(run, edges.schema)
+    # A session may deal out to more tasks than it is asked for, but never coalesces to more than one.
+    dealt = edges.repartition(parts, "u", "v") if parts > 1 else edges.coalesce(1)
+    return dealt.mapInArrow(run, edges.schema)
 
 
 def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
