@@ -5,14 +5,16 @@ needed whatever the partner, and each set shares one of its ``n - ceil(t * n) +
 every partner. The order puts frequent n-grams last (counts from a sketch of fixed size, ties by hash), so the lists of
 the first n-grams are short and a passage shared by many documents does not bring them together.
 
-Search: in each list the members are compared with its first member, as a query. Pairs whose parity bitmaps differ in more bits than linked sets
-can differ in n-grams are left out first, which loses none. A query's task indexes the sets of up to ``CHUNK``
-members and runs a T-occurrence search by DivideSkip: the longest inverted lists are set aside, the short ones are merged with counting, members that reach
-the required overlap less the number of long lists are looked up in the long lists by binary search, and those with the
-required overlap are links. Then the members of each list that are outside the class of its first member are
-compared with all members of other classes, at most ``LISTED`` of a list first, and the rest, if there are more, after the classes have been
-joined again. A group of thousands of near copies thus costs about one comparison a member; every pair of a list is compared unless a
-class already covers it.
+The lists are searched twice. First each member meets the smallest member of its list, which costs one row a member and gives most classes. Then, in the
+lists whose members are in several classes, members of different classes meet: lists with the same members are one, a list is dealt out in
+blocks of about ``BLOCK`` members, and pairs of blocks are compared inside tasks, so that no table of all pairs arises; members in the class of the
+list's smallest member are not compared with each other. Of the pairs that meet, those go on whose sizes allow a link and whose parity bitmaps differ in
+no more bits than linked sets can differ in n-grams, which loses none: nearly all others are left out.
+
+Pairs that are left are grouped by one side, the query. A task builds the inverted lists of the query's n-grams over the sets of up to ``CHUNK`` members
+and searches them by DivideSkip: the longest lists are set aside, the short ones are merged by a heap, which skips the members that cannot reach the
+required overlap less the number of long lists, and the others are looked up in the long lists by binary search. Members with the required overlap
+are links.
 
 A null text, or one without words, is an empty set and links with nothing. A text with fewer words than ``n`` has its whole sequence as
 one n-gram. Rows with equal ids count as documents of their own and link by their texts. Rows with a null id share the class of the documents with an
@@ -22,11 +24,13 @@ Sets are compared by 64-bit hashes of n-grams, and equal sets meet by a 64-bit h
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldloom.llm.components import connected
@@ -36,7 +40,7 @@ from foldloom.storage import stage
 SKETCH_BITS = 22
 SKETCH_ROWS = 64
 CHUNK = 256
-LISTED = 64
+BLOCK = 256
 BROADCAST_ROWS = 1_000_000
 
 
@@ -154,28 +158,49 @@ def t_occurrence(query: np.ndarray, members: list[np.ndarray], percent: int) ->
     grams = np.concatenate([members[i] for i in fit])
     owner = np.repeat(np.arange(len(fit)), sizes[fit])
     order = np.argsort(grams, kind="stable")
-    grams, owner = grams[order], owner[order]
+    grams, owner = grams[order], owner[order].tolist()
     low, high = np.searchsorted(grams, query, "left"), np.searchsorted(grams, query, "right")
-    lengths = high - low
-    least = int(required[fit].min())
-    longest = np.argsort(-lengths, kind="stable")
+    lists = sorted((owner[i:j] for i, j in zip(low.tolist(), high.tolist(), strict=True) if i < j), key=len, reverse=True)
+    needs = required[fit].tolist()
+    least = min(needs)
     # As many long lists as balance merging against probing: T / (mu * log2 of the longest list + 1).
-    n_long = min(least - 1, int(least / (0.1 * np.log2(max(2, lengths.max())) + 1)))
-    long, short = longest[:n_long], longest[n_long:]
-    short = short[lengths[short] > 0]
-    size = lengths[short]
-    entries = np.repeat(low[short] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum()) if len(short) else np.zeros(0, int)
-    count = np.bincount(owner[entries], minlength=len(fit))
-    candidates = np.flatnonzero(count >= required[fit] - n_long)
-    for i in long:
-        if not len(candidates):
-            break
-        postings = owner[low[i] : high[i]]
-        at = np.searchsorted(postings, candidates)
-        hit = at < len(postings)
-        hit[hit] = postings[at[hit]] == candidates[hit]
-        count[candidates[hit]] += 1
-    return fit[candidates[count[candidates] >= required[fit][candidates]]].tolist()
+    n_long = min(least - 1, int(least / (0.1 * np.log2(max(2, len(lists[0]) if lists else 2)) + 1)))
+    found = []
+    for member, count in merge_skip(lists[n_long:], least - n_long):
+        for n_left, postings in zip(range(n_long, 0, -1), lists[:n_long], strict=False):
+            if count >= needs[member] or count + n_left < needs[member]:
+                break
+            at = bisect_left(postings, member)
+            count += at < len(postings) and postings[at] == member
+        if count >= needs[member]:
+            found.append(int(fit[member]))
+    return found
+
+
+def merge_skip(lists: list[list[int]], least: int) -> Iterator[tuple[int, int]]:
+    """The values that are in ``least`` of the ascending lists or more, ascending, with the number of lists that hold them. A value that is not
+    costs no look at the values of the other lists before the next one that can be."""
+    at = [0] * len(lists)
+    heap = [(own[0], i) for i, own in enumerate(lists)]
+    heapify(heap)
+    while len(heap) >= least:
+        value, popped = heap[0][0], []
+        while heap and heap[0][0] == value:
+            popped.append(heappop(heap)[1])
+        if len(popped) >= least:
+            yield value, len(popped)
+            bound = value + 1
+        else:
+            # Fewer lists than needed begin before the next value that counts.
+            while heap and len(popped) < least - 1:
+                popped.append(heappop(heap)[1])
+            if not heap:
+                return
+            bound = heap[0][0]
+        for i in popped:
+            at[i] = bisect_left(lists[i], bound, at[i])
+            if at[i] < len(lists[i]):
+                heappush(heap, (lists[i][at[i]], i))
 
 
 def _routed(docs: DataFrame, routes: DataFrame, n: int) -> DataFrame:
@@ -248,7 +273,8 @@ def _may_link(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             keep = [n + m - bits_apart(x, y) >= 2 * needed(n, m, percent) for n, m, x, y in zip(*columns, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "size_a", "size_b", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint")
+    close = pairs.where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
+    return close.select("a", "b", "size_a", "size_b", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint")
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -260,34 +286,22 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     nodes = sets.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size"))
 
     dealt = _postings(docs, n, percent, sketch).repartition("shingle")
-    shared = dealt.groupBy("shingle").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo <> hi").select("shingle")
-    lists = stage(dealt.join(shared.hint("shuffle_hash"), "shingle").distinct())
+    shared = dealt.groupBy("shingle").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo <> hi").select("shingle", "lo")
+    lists = stage(dealt.join(shared.hint("shuffle_hash"), "shingle").select("shingle", "lo", "sig").distinct())
     bits = staged.where("sig is not null").groupBy("sig").agg(F.max("bits").alias("bits"))
     involved = stage(nodes.join(lists.select("sig").distinct(), "sig").join(bits, "sig").where("rep is not null"))
-    rank = F.row_number().over(Window.partitionBy("shingle").orderBy("sig"))
-    ranked = stage(lists.join(involved.select("sig", "size"), "sig").withColumn("rank", rank))
-
-    links = tested = labels = None
-    for part in ("first", "some", "all"):
-        pairs = _star(ranked) if part == "first" else _outside(ranked, labels, LISTED if part == "some" else None)
-        pairs = pairs.where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")).select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        tested_now = stage(_may_link(pairs, involved, percent))
-        tested = tested_now if tested is None else tested.unionAll(tested_now)
-        if not tested_now.isEmpty():
-            found = stage(_search(docs, tested_now, involved, n, percent))
-            if not found.isEmpty():
-                links = found if links is None else links.unionAll(found)
-                labels = stage(connected(links))
-        if part == "some" and not _more_outside(ranked, labels):
-            break
-    if links is None:
-        classes = nodes.select("sig", F.col("rep").alias("component_id"))
-    else:
-        named = nodes.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-        ids = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-        classes = named.join(ids, "component").select("sig", "component_id")
+
+    star = lists.where("sig <> lo").select(F.col("lo").alias("a"), F.col("sig").alias("b")).distinct()
+    tested = stage(_may_link(star, involved, percent))
+    links = stage(_search(docs, tested, involved, n, percent))
+    labels = stage(connected(links))
+    more = stage(_across(lists, labels, involved, percent).distinct().join(tested, ["a", "b"], "left_anti"))
+    if not more.isEmpty():
+        links = links.unionAll(stage(_search(docs, more, involved, n, percent)))
+        labels = stage(connected(links))
+    named = nodes.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    ids = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    classes = named.join(ids, "component").select("sig", "component_id")
     return sets.join(classes, "sig", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
@@ -302,39 +316,77 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows
 
 
-def _star(ranked: DataFrame) -> DataFrame:
-    """``a, b, size_a, size_b``: the first member of each list with every other one."""
-    queries = ranked.where("rank = 1").select("shingle", F.col("sig").alias("a"), F.col("size").alias("size_a"))
-    return ranked.where("rank > 1").join(queries, "shingle").select("a", F.col("sig").alias("b"), "size_a", F.col("size").alias("size_b"))
-
-
-def _classed(ranked: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """The members of lists that are not all in one class, with their class; and among them those outside the class of the
-    first member, numbered."""
-    if labels is None:
-        known = ranked.withColumn("component", F.col("sig"))
-    else:
-        known = ranked.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-    main = known.where("rank = 1").select("shingle", F.col("component").alias("main"))
-    known = known.where("rank > 1").join(main, "shingle")
-    number = F.row_number().over(Window.partitionBy("shingle").orderBy("sig"))
-    return known, known.where("component <> main").withColumn("number", number)
-
-
-def _more_outside(ranked: DataFrame, labels: DataFrame | None) -> bool:
-    return not _classed(ranked, labels)[1].where(F.col("number") > LISTED).isEmpty()
-
-
-def _outside(ranked: DataFrame, labels: DataFrame | None, limit: int | None) -> DataFrame:
-    """``a, b, size_a, size_b``: members outside the first member's class (all, or the first ones of each list) with the
-    members of other classes. Two members outside meet once; the first member has been compared already."""
-    known, outside = _classed(ranked, labels)
-    queries = outside if limit is None else outside.where(F.col("number") <= limit)
-    queries = queries.select("shingle", F.col("sig").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("class_a"))
-    members = known.select("shingle", F.col("sig").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("class_b"), "main")
-    once = (F.col("class_b") == F.col("main")) | (F.col("b") > F.col("a")) if limit is None else F.lit(True)
-    return queries.join(members, "shingle").where((F.col("class_a") != F.col("class_b")) & once).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-        F.when(F.col("a") < F.col("b"), F.col("size_a")).otherwise(F.col("size_b")).alias("size_a"),
-        F.when(F.col("a") < F.col("b"), F.col("size_b")).otherwise(F.col("size_a")).alias("size_b"),
-    )
+def _across(lists: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of members of one list that are in different classes and may link."""
+    known = lists.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("class", F.coalesce("component", "sig"))
+    hashes = [F.bit_xor(F.xxhash64("sig", F.lit(seed))).alias(f"h{seed}") for seed in (1, 2)]
+    mixed = known.groupBy("shingle").agg(F.min("class").alias("first"), F.max("class").alias("last"), F.count("*").alias("all"), *hashes).where("first <> last")
+    # Of lists with the same members, and so the same smallest member, one is enough.
+    single = mixed.groupBy("h1", "h2", "all").agg(F.min("shingle").alias("shingle")).select("shingle", "all")
+    known = known.join(single, "shingle").select("shingle", "lo", "sig", "class", "all")
+    main = known.where("sig = lo").select("shingle", F.col("class").alias("main"))
+    known = known.join(main, "shingle").withColumn("other", F.col("class") != F.col("main"))
+    others = known.groupBy("shingle").agg(F.count_if("other").alias("others"))
+    known = stage(known.join(others, "shingle"))
+
+    n_main, n_other = F.ceil((F.col("all") - F.col("others")) / BLOCK).cast("int"), F.ceil(F.col("others") / BLOCK).cast("int")
+    rows = known.withColumn("n_main", n_main).withColumn("n_other", n_other)
+    # Blocks of the main class have the numbers below n_main; a row goes to every pair of blocks that holds its own and one of the others.
+    place = F.xxhash64("sig", F.lit(3))
+    own = F.when(F.col("other"), F.col("n_main") + F.pmod(place, "n_other")).otherwise(F.pmod(place, "n_main")).cast("int")
+    partners = F.sequence(F.when(F.col("other"), 0).otherwise(F.col("n_main")), F.col("n_main") + F.col("n_other") - 1)
+    rows = rows.withColumn("own", own).withColumn("partner", F.explode(partners))
+    rows = rows.select("shingle", F.least("own", "partner").alias("i"), F.greatest("own", "partner").alias("j"), "own", "class", "sig")
+    group = ["shingle", "i", "j"]
+    parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.join(nodes.select("sig", "size", "bits"), "sig").repartition(parts, *group).sortWithinPartitions(*group, "own")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def pairs():
+            i, j = key[1:]
+            left, right = ([r for r in held if r[0] == number] for number in (i, j))
+            a, b = block_pairs(left, right if j != i else None, percent)
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            for *own_key, own, cls, sig, size, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own_key != key:
+                    if key:
+                        yield pairs()
+                    key, held = own_key, []
+                held.append((own, cls, sig, size, bits))
+        if key:
+            yield pairs()
+
+    return rows.select(*group, "own", "class", "sig", "size", "bits").mapInArrow(run, "a bigint, b bigint")
+
+
+def block_pairs(left: list[tuple], right: list[tuple] | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows ``own, class, sig, size, bits`` of two blocks, or inside one, that are in different classes and may link."""
+    other = left if right is None else right
+    sizes, classes, sigs = (np.array([r[i] for r in other], np.int64) for i in (3, 1, 2))
+    by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for length in {len(r[4]) for r in other}:
+        at = np.array([i for i, r in enumerate(other) if len(r[4]) == length])
+        by_length[length] = at, np.frombuffer(b"".join(other[i][4] for i in at), np.uint64).reshape(len(at), -1)
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i, (_, cls, sig, size, bits) in enumerate(left):
+        own = np.frombuffer(bits, np.uint64)
+        for at, rows in by_length.values():
+            keep = (classes[at] != cls) & (100 * np.minimum(sizes[at], size) >= percent * np.maximum(sizes[at], size))
+            if right is None:
+                keep &= at > i
+            at, rows, query = at[keep], rows[keep], own
+            if not len(at):
+                continue
+            while rows.shape[1] > len(query):
+                rows = rows[:, : rows.shape[1] // 2] ^ rows[:, rows.shape[1] // 2 :]
+            while len(query) > rows.shape[1]:
+                query = query[: len(query) // 2] ^ query[len(query) // 2 :]
+            apart = np.bitwise_count(rows ^ query).sum(1, dtype=np.int64)
+            near = at[size + sizes[at] - apart >= 2 * needed(size, sizes[at], percent)]
+            a.append(np.full(len(near), sig, np.int64))
+            b.append(sigs[near])
+    return np.concatenate(a), np.concatenate(b)

@@ -98,6 +98,53 @@ def test_ngram_join_in_lists_of_several_classes(spark):
     assert got == want
 
 
+def test_ngram_join_of_a_large_group_in_blocks(spark, monkeypatch):
+    """Hundreds of classes in one list, more members than a block and than a chunk, repeated and null ids, and chains."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 48)
+    monkeypatch.setattr(ngram_join, "CHUNK", 32)
+    rng = random.Random(6)
+    base, table = prose(rng, 150).split(), []
+
+    def edit(words, n):
+        out = list(words)
+        for i in rng.sample(range(len(words)), n):
+            out[i] = f"edit{rng.randrange(10**9)}"
+        return out
+
+    for i in range(600):
+        table.append((2000 - i, " ".join(edit(base, rng.randrange(0, 24)))))
+    words = prose(rng, 200).split()
+    for i in range(80):
+        words = edit(words, 3)
+        table.append((3000 - i, " ".join(words)))
+    table += [(5, table[3][1]), (1500, table[7][1]), (1500, table[7][1])]
+    sets = [shingle_set(t) for _, t in table]
+    held = np.zeros((len(table), len(set().union(*sets))), np.float32)
+    number = {}
+    for i, own in enumerate(sets):
+        held[i, [number.setdefault(g, len(number)) for g in own]] = 1
+    both, n = held @ held.T, held.sum(1)
+    linked, label = 100 * both >= 80 * (n[:, None] + n[None] - both), np.arange(len(table))
+    for _ in table:
+        label = np.array([label[row].min() for row in linked])
+    least = {}
+    for i, (doc_id, _) in enumerate(table):
+        least[label[i]] = min(doc_id, least.get(label[i], doc_id))
+    assert len(least) > 100
+    want = sorted((doc_id, len(sets[i]), least[label[i]]) for i, (doc_id, _) in enumerate(table))
+    docs = spark.createDataFrame([*table, (None, table[0][1])], "doc_id bigint, text string").repartition(4)
+    assert sorted(map(tuple, ngram_join.jaccard_join(docs).where("doc_id is not null").collect())) == want
+
+
+def test_merge_skip_equals_counting():
+    rng = random.Random(7)
+    for _ in range(300):
+        lists = [sorted(rng.sample(range(40), rng.randrange(1, 30))) for _ in range(rng.randrange(0, 12))]
+        least = rng.randrange(1, 8)
+        counts = Counter(v for own in lists for v in own)
+        assert list(ngram_join.merge_skip(lists, least)) == sorted((v, n) for v, n in counts.items() if n >= least)
+
+
 def test_representatives_keep_every_class(docs):
     kept = ngram_join.representatives(docs)
     assert kept.columns == docs.columns
