@@ -6,6 +6,7 @@ import math
 import random
 import re
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -397,38 +398,103 @@ def test_sparse_hosts_shrink_to_the_mean(spark):
     assert got[1].host_posterior != base
 
 
-def test_schedule_keeps_each_source_within_one_block():
-    blocks, parts = {"a": 300, "b": 40, "c": 611, "d": 1}, {"a": 500, "b": 130, "c": 360, "d": 10}
-    plan = mixing.phases(blocks, parts)
-    slots = {}
-    for source, first, taken, share, period, start, own in plan:
-        for j in range(taken):
-            slot = start + j // share * period + own[j % share]
-            assert slot not in slots
-            slots[slot] = source, first + j
-    assert sorted(slots) == list(range(sum(blocks.values())))
-    for source, n in blocks.items():
-        assert [b for _, (s, b) in sorted(slots.items()) if s == source] == list(range(n))
-    first_phase = [r for r in plan if r[5] == 0]
-    length = min(r[5] for r in plan if r[5]) if any(r[5] for r in plan) else sum(blocks.values())
-    done = Counter()
-    for slot in range(length):
-        done[slots[slot][0]] += 1
-        for source, _, _, share, period, _, _ in first_phase:
-            assert abs(done[source] - (slot + 1) * share / period) < 1
+def fluid(blocks, weights, slot):
+    """What each source is owed by a slot, step by step, in exact fractions."""
+    exact, owed, left = [Fraction(w) for w in weights], [Fraction(0)] * len(blocks), Fraction(slot)
+    while left:
+        active = [i for i in range(len(blocks)) if owed[i] < blocks[i]]
+        total = sum(exact[i] for i in active)
+        step = min(left, *((blocks[i] - owed[i]) * total / exact[i] for i in active))
+        for i in active:
+            owed[i] += step * exact[i] / total
+        left -= step
+    return owed
+
+
+@pytest.mark.parametrize(
+    "blocks, weights",
+    [
+        ([300, 40, 611, 1], [0.5, 0.13, 0.36, 0.01]), ([500, 333, 167], [1 / 2, 1 / 3, 1 / 6]), ([7], [0.3]), ([1] * 30, [1.0] * 30),
+        ([900, 1, 1], [0.99995, 0.00005, 0.001]), ([200, 200, 200], [1e-300, 1.0, 1e9]), ([50, 60, 70, 80], [50**0.5, 60**0.5, 70**0.5, 80**0.5]),
+    ],
+)
+def test_schedule_keeps_each_source_within_one_block_of_what_it_is_owed(blocks, weights):
+    slots = mixing.schedule(blocks, weights)
+    assert [len(own) for own in slots] == blocks and all(own == sorted(own) for own in slots)
+    assert sorted(s for own in slots for s in own) == list(range(sum(blocks)))
+    done, taken = [0] * len(blocks), {s: i for i, own in enumerate(slots) for s in own}
+    for slot in range(sum(blocks)):
+        done[taken[slot]] += 1
+        assert all(abs(d - o) < 1 for d, o in zip(done, fluid(blocks, weights, slot + 1), strict=True))
+
+
+def test_schedule_of_many_blocks_keeps_the_given_weights():
+    """Weights that are no whole shares of a period, among them very small ones, while all sources have rows."""
+    weights = [1 / 2, 1 / 3, 1 / 6, 1e-5, 5e-5]
+    total = sum(map(Fraction, weights))
+    n = 200_000
+    slots = mixing.schedule([int(n * Fraction(w) / total) + 2 for w in weights], weights)
+    for own, w in zip(slots, weights, strict=True):
+        own = [s for s in own if s < n]
+        for j, slot in enumerate(own):
+            assert j < (slot + 1) * Fraction(w) / total and slot * Fraction(w) / total < j + 1
+        assert abs(len(own) - n * Fraction(w) / total) < 1
+
+
+def test_random_schedules():
+    rng = random.Random(9)
+    for _ in range(60):
+        k = rng.randrange(1, 7)
+        test_schedule_keeps_each_source_within_one_block_of_what_it_is_owed([rng.randrange(1, 25) for _ in range(k)], [rng.choice([1.0, 2.0, rng.random() + 1e-6]) for _ in range(k)])
 
 
 def test_mixing(docs, rows, empty):
     got = mixing.mix_sources(docs, {None: 1, "s0": 2, "s1": 1, "absent": 5}, block_rows=2).collect()
     assert len(got) == len(rows)
-    assert len({(r.slot, r.place) for r in got}) == len(rows)
-    assert sorted({r.slot for r in got}) == list(range(max(r.slot for r in got) + 1))
-    assert all(len({r.source for r in got if r.slot == s}) == 1 for s in {r.slot for r in got})
+    sizes = Counter(r[3] for r in rows)
+    names = [None, "s0", "s1"]
+    slots = mixing.schedule([-(-sizes[name] // 2) for name in names], [1, 2, 1])
+    for name, own in zip(names, slots, strict=True):
+        placed = sorted((r.block, r.place, r.slot) for r in got if r.source == name)
+        assert placed == [(i // 2, i % 2, own[i // 2]) for i in range(sizes[name])]
     with pytest.raises(ValueError):
         mixing.mix_sources(docs, {"s0": 1})
     assert mixing.mix_sources(empty).count() == 0
 
 
+def test_mixing_follows_the_hash_of_the_id_whatever_the_partitions(spark):
+    table = spark.createDataFrame([(i, "ab"[i % 3 == 0]) for i in range(500)], "doc_id bigint, source string")
+    plans = [sorted(map(tuple, mixing.mix_sources(table.repartition(n), block_rows=7).collect())) for n in (1, 5)]
+    assert plans[0] == plans[1]
+    order = [r.doc_id for r in table.where("source = 'a'").orderBy(F.pmod(F.shiftrightunsigned(F.xxhash64(F.lit(42), "doc_id"), 3), F.lit(1)), F.xxhash64(F.lit(42), "doc_id")).collect()]
+    assert [row[0] for row in sorted(plans[0], key=lambda row: (row[2], row[4])) if row[1] == "a"] == order
+
+
+def test_mixing_of_one_id_dealt_out_to_many_buckets(spark, monkeypatch):
+    """Rows without an id and repeated rows: places are whole, and no window holds them all."""
+    for name, value in (("HEAVY_ROWS", 50), ("BUCKET_ROWS", 20), ("BUCKETS", 4)):
+        monkeypatch.setattr(mixing, name, value)
+    table = [(None, "a")] * 400 + [(7, "a")] * 300 + [(i, "a") for i in range(100, 400)] + [(i, None) for i in range(60)]
+    docs = spark.createDataFrame(table, "doc_id bigint, source string").repartition(4)
+    got = mixing.mix_sources(docs, block_rows=10).collect()
+    for name, n in (("a", 1000), (None, 60)):
+        own = sorted((r.block, r.place, r.doc_id) for r in got if r.source == name)
+        assert [(b, p) for b, p, _ in own] == [(i // 10, i % 10) for i in range(n)]
+        if name:
+            assert all(i not in (None, 7) for _, _, i in own[:300]) and all(i in (None, 7) for _, _, i in own[300:])
+    rows = docs.select(F.struct("doc_id").alias("_in"), F.lit("=a").alias("_source"), F.xxhash64(F.lit(42), "doc_id").alias("_order"))
+    plan = mixing._numbered(rows, 5)
+    assert sorted(r._index for r in plan.collect()) == list(range(1060))
+
+
+def test_mixing_keeps_columns_with_clashing_names(spark):
+    names = ["doc_id", "source", "_source", "_order", "_offset", "_index", "_in", "_slots", "_n", "a.b", "slot", "place"]
+    docs = spark.createDataFrame([(i, "s", *range(10)) for i in range(30)], ", ".join(f"`{n}` {'string' if n == 'source' else 'bigint'}" for n in names))
+    got = mixing.mix_sources(docs, block_rows=4)
+    assert got.columns == [*names[:-2], "block", "slot", "place"]
+    assert sorted((r.doc_id, r._in, r["a.b"]) for r in got.collect()) == [(i, 4, 7) for i in range(30)]
+
+
 def test_licenses(spark, empty):
     table = [
         (1, "Some text.\nReleased under the MIT License.\nMore"), (2, "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public\nLicense as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
