@@ -77,10 +77,14 @@ def fit(
     epochs: int = 15, rate: float = 0.2, l2: float = 1e-3, seed: int = 7,
 ) -> FactorizationMachine:
     """Minimise the logistic loss with AdaGrad over small batches."""
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.uint32)
-    toxic = np.repeat(labels, [len(r) for r in rows])
-    buckets, where = np.unique(flat, return_inverse=True)
-    docs, hits = np.bincount(where, minlength=len(buckets)), np.bincount(where, toxic, len(buckets))
+    # One pass over the rows, whose buckets are distinct, so that memory does not depend on the number of their terms.
+    docs, hits = np.zeros(1 << BITS, np.int32), np.zeros(1 << BITS, np.int32)
+    for own, label in zip(rows, labels, strict=True):
+        docs[own] += 1
+        if label:
+            hits[own] += 1
+    buckets = np.flatnonzero(docs).astype(np.uint32)
+    docs, hits = docs[buckets].astype(np.int64), hits[buckets].astype(np.float64)
     mean = labels.mean() if len(labels) else 0.0
     z = (hits - docs * mean) / np.sqrt(np.maximum(docs * mean * (1 - mean), 1e-9))
     buckets = buckets[(docs >= min_docs) & (np.abs(z) > min_z)]
