@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, on small tables with nulls, empty and long texts, ties and repeated rows."""
 
 import base64
+import gzip
 import hashlib
 import math
 import random
@@ -268,6 +269,48 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read(warc.write(pages.limit(0), folder + "2"), folder + "2").count() == 0
 
 
+def strict_records(data):
+    """The records of an archive by the rules of WARC 1.1, with the checks a reader makes."""
+    while data:
+        head, _, rest = data.partition(b"\r\n\r\n")
+        version, *lines = head.decode().split("\r\n")
+        assert version == "WARC/1.1" and all(": " in line for line in lines)
+        fields = dict(line.split(": ", 1) for line in lines)
+        assert {"WARC-Record-ID", "WARC-Date", "WARC-Type", "Content-Length", "Content-Type", "WARC-Target-URI"} <= set(fields) and len(fields) == len(lines)
+        assert re.fullmatch(r"<urn:uuid:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}>", fields["WARC-Record-ID"])
+        assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields["WARC-Date"])
+        size = int(fields["Content-Length"])
+        block, data = rest[:size], rest[size:]
+        assert data[:4] == b"\r\n\r\n"
+        data = data[4:]
+        http, _, payload = block.partition(b"\r\n\r\n")
+        assert http.startswith(b"HTTP/1.1 200 OK\r\n") and fields["Content-Type"] == "application/http; msgtype=response"
+        if fields["WARC-Type"] == "response":
+            assert len(payload) == int(dict(x.split(b": ") for x in http.split(b"\r\n")[1:])[b"Content-Length"])
+            assert fields["WARC-Payload-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        else:
+            assert not payload and fields["WARC-Profile"].endswith("/1.1/revisit/identical-payload-digest")
+            assert fields["WARC-Refers-To-Date"] == fields["WARC-Date"]
+        yield fields
+
+
+def test_archives_are_valid_records_with_ids_of_their_own(spark, tmp_path):
+    rows = [(1, "http://a", "x"), (1, "http://a", "x"), (2, "http://b", "x"), (3, None, "é" * 1000), (None, "http://c\n", ""), (4, None, "é" * 1000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    index = warc.write(pages, f"file://{tmp_path}/warc", date="2020-02-29T12:00:00Z")
+    records = [r for f in (tmp_path / "warc").iterdir() for r in strict_records(gzip.decompress(f.read_bytes()))]
+    assert len(records) == 6 and len({r["WARC-Record-ID"] for r in records}) == 6 and {r["WARC-Date"] for r in records} == {"2020-02-29T12:00:00Z"}
+    referred = {r["Page-ID"]: (r["WARC-Refers-To-Target-URI"], r["Refers-To-Page-ID"]) for r in records if r["WARC-Type"] == "revisit"}
+    assert referred == {"2": ("http://a", "1"), "4": ("urn:no-target:3", "3")}
+    got = sorted((r.page_id or 0, r.url, r.record_type) for r in warc.read(index, f"file://{tmp_path}/warc").collect())
+    assert [g[0] for g in got] == [0, 1, 1, 2, 3, 4] and [g[2] for g in got] == ["response"] * 3 + ["revisit", "response", "revisit"]
+    # Each index row is a record that can be read alone.
+    for row in index.collect():
+        with open(row.file, "rb") as f:
+            f.seek(row.offset)
+            assert next(strict_records(gzip.decompress(f.read(row.length))))["WARC-Type"] == row.record_type
+
+
 def test_reads_are_coalesced():
     records = [(0, 10), (10, 5), (100_000, 7), (100_007, 9 << 20), (100_007 + (9 << 20), 3)]
     assert [(a, n, held) for a, n, held in warc.coalesced(records)] == [
