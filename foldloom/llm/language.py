@@ -6,8 +6,8 @@ byte ``c / (n + q)`` for a context seen ``n`` times with ``q`` different bytes,
 equally likely. The statistics are frozen before scoring, so the code length of a text under a language is a sum over its bytes.
 The language with the shortest code wins; ties go to the first in alphabetical order.
 
-Training reads the rows of at most ``per_language`` ids of each language, those with the smallest hash. The names of the languages, a
-closed vocabulary, and the contexts that these rows hold are the only things that pass through the driver. Scoring reads whole texts and shuffles nothing.
+Training reads the rows of at most ``per_language`` ids of each language, those with the smallest hash; more than
+``MAX_LANGUAGES`` languages are refused. The contexts that these rows hold are the only things that pass through the driver. Scoring reads whole texts and shuffles nothing.
 
 A null text, or one without a letter, is ``und`` with score 0. Rows with a null language teach nothing; with no training row at all every
 text is ``und``. Columns beside id, text and language are ignored, and rows with equal ids are scored one by one.
@@ -17,18 +17,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldloom.llm.words import slices, utf8
 
 ORDER = 3
 PAD = 0x0A
-SLOTS = 20
+MAX_LANGUAGES = 1000
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -165,11 +164,14 @@ def train(
     """Fit on at most ``per_language`` rows of each language, the same ones under any partitioning."""
     rows = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull())
     rows = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    names = sorted(r[0] for r in rows.select("lang").distinct().collect())
-    if not names:
+    n_languages = rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
+    if n_languages > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not n_languages:
         return Model([], [], [])
-    firsts = [rows.select("id", "lang").where(F.col("lang") == x).orderBy(F.xxhash64("id"), "id").limit(per_language) for x in names]
-    chosen = reduce(DataFrame.unionAll, firsts)
+    # Every task sends the first rows of each language only, so one with most of the rows costs no more than another.
+    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
+    chosen = rows.select("id", "lang").withColumn("_first", first).where(F.col("_first") <= per_language).drop("_first")
     sample = rows.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text")
 
     def count(batches):
