@@ -5,11 +5,12 @@ needed whatever the partner, and each set shares one of its ``n - ceil(t * n) +
 every partner. The order puts frequent n-grams last (counts from a sketch of fixed size, ties by hash), so the lists of
 the first n-grams are short and a passage shared by many documents does not bring them together.
 
-The lists are searched twice. First each member meets the smallest member of its list, which costs one row a member and gives most classes. Then, in the
+The lists are searched three times. First each member meets the smallest members of its lists, up to ``STARS`` of them, which gives most classes. Then, in the
 lists whose members are in several classes, members of different classes meet: lists with the same members are one, a list is dealt out in
 blocks of about ``BLOCK`` members, and pairs of blocks are compared inside tasks, so that no table of all pairs arises; members in the class of the
 list's smallest member are not compared with each other. Of the pairs that meet, those go on whose sizes allow a link and whose parity bitmaps differ in
-no more bits than linked sets can differ in n-grams, which loses none: nearly all others are left out.
+no more bits than linked sets can differ in n-grams, which loses none: nearly all others are left out. In the second search a member goes on with the
+``NEAREST`` ones of a block only, which joins most classes; in the third with all that are then still in other classes.
 
 Pairs that are left are grouped by one side, the query. A task builds the inverted lists of the query's n-grams over the sets of up to ``CHUNK`` members
 and searches them by DivideSkip: the longest lists are set aside, the short ones are merged by a heap, which skips the members that cannot reach the
@@ -41,6 +42,8 @@ SKETCH_BITS = 22
 SKETCH_ROWS = 64
 CHUNK = 256
 BLOCK = 256
+STARS = 8
+NEAREST = 2
 BROADCAST_ROWS = 1_000_000
 
 
@@ -51,8 +54,8 @@ def set_hash(own: np.ndarray) -> int:
 
 
 def bitmap(own: np.ndarray) -> bytes:
-    """For each of about as many bits as n-grams, whether an odd number of n-grams falls on it."""
-    bits = max(64, 1 << int(len(own) - 1).bit_length())
+    """For each of about twice as many bits as n-grams, whether an odd number of n-grams falls on it."""
+    bits = max(64, 1 << int(2 * len(own) - 1).bit_length())
     odd = np.bincount(((own >> np.uint64(7)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -291,14 +294,17 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     bits = staged.where("sig is not null").groupBy("sig").agg(F.max("bits").alias("bits"))
     involved = stage(nodes.join(lists.select("sig").distinct(), "sig").join(bits, "sig").where("rep is not null"))
 
-    star = lists.where("sig <> lo").select(F.col("lo").alias("a"), F.col("sig").alias("b")).distinct()
-    tested = stage(_may_link(star, involved, percent))
+    stars = lists.where("sig <> lo").groupBy("sig").agg(F.array_sort(F.collect_set("lo")).alias("los"))
+    pairs = stars.select(F.explode(F.slice("los", 1, STARS)).alias("a"), F.col("sig").alias("b"))
+    tested = stage(_may_link(pairs, involved, percent))
     links = stage(_search(docs, tested, involved, n, percent))
     labels = stage(connected(links))
-    more = stage(_across(lists, labels, involved, percent).distinct().join(tested, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        links = links.unionAll(stage(_search(docs, more, involved, n, percent)))
-        labels = stage(connected(links))
+    for nearest in (NEAREST, None):
+        more = stage(_across(lists, labels, involved, percent, nearest).distinct().join(tested, ["a", "b"], "left_anti"))
+        if not more.isEmpty():
+            tested = tested.unionAll(more)
+            links = links.unionAll(stage(_search(docs, more, involved, n, percent)))
+            labels = stage(connected(links))
     named = nodes.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     ids = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     classes = named.join(ids, "component").select("sig", "component_id")
@@ -316,8 +322,9 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows
 
 
-def _across(lists: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of members of one list that are in different classes and may link."""
+def _across(lists: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, nearest: int | None) -> DataFrame:
+    """Pairs ``a, b`` of members of one list that are in different classes and may link; of a member, those with the ``nearest`` in a
+    block, if that is a number."""
     known = lists.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("class", F.coalesce("component", "sig"))
     hashes = [F.bit_xor(F.xxhash64("sig", F.lit(seed))).alias(f"h{seed}") for seed in (1, 2)]
     mixed = known.groupBy("shingle").agg(F.min("class").alias("first"), F.max("class").alias("last"), F.count("*").alias("all"), *hashes).where("first <> last")
@@ -347,7 +354,7 @@ def _across(lists: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int)
         def pairs():
             i, j = key[1:]
             left, right = ([r for r in held if r[0] == number] for number in (i, j))
-            a, b = block_pairs(left, right if j != i else None, percent)
+            a, b = block_pairs(left, right if j != i else None, percent, nearest)
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
 
         for batch in batches:
@@ -363,8 +370,9 @@ def _across(lists: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int)
     return rows.select(*group, "own", "class", "sig", "size", "bits").mapInArrow(run, "a bigint, b bigint")
 
 
-def block_pairs(left: list[tuple], right: list[tuple] | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs of rows ``own, class, sig, size, bits`` of two blocks, or inside one, that are in different classes and may link."""
+def block_pairs(left: list[tuple], right: list[tuple] | None, percent: int, nearest: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows ``own, class, sig, size, bits`` of two blocks, or inside one, that are in different classes and may link. With ``nearest``, for each
+    row of the first block those with the rows that differ least."""
     other = left if right is None else right
     sizes, classes, sigs = (np.array([r[i] for r in other], np.int64) for i in (3, 1, 2))
     by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -373,7 +381,7 @@ def block_pairs(left: list[tuple], right: list[tuple] | None, percent: int) -> t
         by_length[length] = at, np.frombuffer(b"".join(other[i][4] for i in at), np.uint64).reshape(len(at), -1)
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i, (_, cls, sig, size, bits) in enumerate(left):
-        own = np.frombuffer(bits, np.uint64)
+        own, found, slack = np.frombuffer(bits, np.uint64), [], []
         for at, rows in by_length.values():
             keep = (classes[at] != cls) & (100 * np.minimum(sizes[at], size) >= percent * np.maximum(sizes[at], size))
             if right is None:
@@ -386,7 +394,14 @@ def block_pairs(left: list[tuple], right: list[tuple] | None, percent: int) -> t
             while len(query) > rows.shape[1]:
                 query = query[: len(query) // 2] ^ query[len(query) // 2 :]
             apart = np.bitwise_count(rows ^ query).sum(1, dtype=np.int64)
-            near = at[size + sizes[at] - apart >= 2 * needed(size, sizes[at], percent)]
-            a.append(np.full(len(near), sig, np.int64))
-            b.append(sigs[near])
+            more = size + sizes[at] - apart - 2 * needed(size, sizes[at], percent)
+            found.append(at[more >= 0])
+            slack.append(more[more >= 0])
+        if not found:
+            continue
+        near = np.concatenate(found)
+        if nearest is not None:
+            near = near[np.argsort(-np.concatenate(slack), kind="stable")[:nearest]]
+        a.append(np.full(len(near), sig, np.int64))
+        b.append(sigs[near])
     return np.concatenate(a), np.concatenate(b)
