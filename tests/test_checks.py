@@ -164,3 +164,22 @@ def test_gate_passes_with_warnings(spark):
     assert tuple(checks.gate(status("OK", "OK")).first()) == (True, "PASSED")
     assert tuple(checks.gate(status("OK", "MISSING")).first()) == (False, "FAILED")
     assert tuple(checks.gate(status("EMPTY")).first()) == (False, "FAILED")
+
+
+def test_a_label_finding_names_all_labels(spark):
+    rows = rotation(TEXTS) + [("01", "test", f"more {i}", f"label {i:02d}") for i in range(12)]
+    issues = checks.label_issues(checks.label_presence(pools(spark, rows)))
+    assert [(r.split, r.check, r.n, r.detail) for r in issues.collect()] == [("test", "labels_not_in_train", 12, [f"label {i:02d}" for i in range(12)])]
+
+
+def test_an_empty_rotation_folder_is_seen(spark, tmp_path):
+    folder = tmp_path / "t" / "c" / "few_shot"
+    for k, split, text, label in rotation(TEXTS):
+        path = folder / k / f"{split}.jsonl"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        with open(path, "a") as out:
+            out.write(json.dumps({"text": text, "label": label}) + "\n")
+    (folder / "03").mkdir()
+    with validate_tree(spark, str(tmp_path), [("t", "c")], layout="few_shot") as result:
+        got = {i[:4] for i in found(result.issues) if i[2] == "missing_file"}
+    assert got == {("03", split, "missing_file", "ERROR") for split in ("train", "valid", "test")}

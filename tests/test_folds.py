@@ -197,3 +197,26 @@ def test_few_shot_takes_the_first_of_every_class(make_rows):
     for r in rotate(folded).where("split = 'train'").collect():
         train[r.k, r.label].append(r.text)
     assert got == {place: set(sorted(texts, key=key)[:3]) for place, texts in train.items()}
+
+
+def test_a_hundred_folds_have_names_of_their_own(make_rows):
+    folded = dedup_and_fold(make_rows([(i, f"t{i}", "x") for i in range(300)]), n_folds=100)
+    pools = rotate(folded, 100)
+    names = {r.k: r.n for r in pools.where("split = 'test'").groupBy("k").agg(F.count("*").alias("n")).collect()}
+    assert names == {f"{k:02d}": 3 for k in range(1, 101)} and "100" in names
+    assert pools.count() == 30_000
+
+
+def test_classes_without_a_label_are_a_class(make_rows):
+    rows = [(i, f"t{i}", None if i % 2 else "") for i in range(60)]
+    folds = dedup_and_fold(make_rows(rows), "stratified").groupBy("fold", "label").agg(F.count("*").alias("n")).collect()
+    assert {(r.fold, r.label): r.n for r in folds} == {(f, label): 6 for f in range(1, 6) for label in (None, "")}
+
+
+def test_open_label_sets_have_no_window_over_all_classes(make_rows):
+    rows = [(i, f"t{i}", f"class {i % 700}") for i in range(2000)]
+    folded = dedup_and_fold(make_rows(rows, 4), "stratified", fits=False)
+    assert folds_of(folded) == brute_stratified(rows)
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if " Window [" in line]
+    assert windows and not [line for line in windows if "windowspecdefinition(_" in line and "ORDER" not in line and "ASC" in line.split("windowspecdefinition(")[1].split(",")[0]]
