@@ -47,9 +47,9 @@ def seeded_position(rows: DataFrame, within: Sequence[str] = (), fits: bool | No
     return placed.withColumn("position", F.col("_start") + F.col("_rank")).drop("_bucket", "_rank", "_start")
 
 
-def _rows_below(position: Column, residue: int, n_folds: int) -> Column:
-    """How many of the places 0 .. position-1 leave ``residue`` when divided by ``n_folds``."""
-    return F.floor((position + (n_folds - 1 - residue)) / n_folds)
+def _rows_of_first_folds(position: Column, folds: int, n_folds: int) -> Column:
+    """How many of the places 0 .. position-1, dealt out in turn, the first ``folds`` folds get."""
+    return F.floor(position / n_folds) * folds + F.least(position % n_folds, F.lit(folds))
 
 
 def class_key(stratum: Column) -> Column:
@@ -108,8 +108,7 @@ def fold_limits(
         runs = runs.withColumn("_offset", F.lit(0).cast("bigint"))
 
     first, last = F.col("_offset"), F.col("_offset") + F.col("_size")
-    shares = [_rows_below(last, i, n_folds) - _rows_below(first, i, n_folds) for i in range(n_folds - 1)]
-    cuts = [sum(shares[1 : i + 1], shares[0]) for i in range(n_folds - 1)]
+    cuts = [_rows_of_first_folds(last, i, n_folds) - _rows_of_first_folds(first, i, n_folds) for i in range(1, n_folds)]
     wanted = F.array(*[F.struct(F.lit(i + 1).alias("no"), cut.alias("at")) for i, cut in enumerate(cuts)])
     targets = (
         runs.withColumn("_cut", F.explode(wanted))
