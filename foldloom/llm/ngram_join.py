@@ -5,10 +5,11 @@ needed whatever the partner, and each set shares one of its ``n - ceil(t * n) +
 every partner. The order puts frequent n-grams last (counts from a sketch of fixed size, ties by hash), so the lists of
 the first n-grams are short and a passage shared by many documents does not bring them together.
 
-The lists are searched three times. First each member meets the smallest members of its lists, up to ``STARS`` of them, which gives most classes. Then, in the
-lists whose members are in several classes, members of different classes meet: lists with the same members are one, a list is dealt out in
+Lists with the same smallest member are one group, whose members meet as those of its lists would. The groups are searched three times. First each member
+meets the smallest members of its groups, up to ``STARS`` of them, which gives most classes. Then, in the
+groups whose members are in several classes, members of different classes meet: a group is dealt out in
 blocks of about ``BLOCK`` members, and pairs of blocks are compared inside tasks, so that no table of all pairs arises; members in the class of the
-list's smallest member are not compared with each other. Of the pairs that meet, those go on whose sizes allow a link and whose parity bitmaps differ in
+group's smallest member are not compared with each other. Of the pairs that meet, those go on whose sizes allow a link and whose parity bitmaps differ in
 no more bits than linked sets can differ in n-grams, which loses none: nearly all others are left out. In the second search a member goes on with the
 ``NEAREST`` ones of a block only, which joins most classes; in the third with all that are then still in other classes.
 
@@ -290,17 +291,17 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     dealt = _postings(docs, n, percent, sketch).repartition("shingle")
     shared = dealt.groupBy("shingle").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo <> hi").select("shingle", "lo")
-    lists = stage(dealt.join(shared.hint("shuffle_hash"), "shingle").select("shingle", "lo", "sig").distinct())
+    groups = stage(dealt.join(shared.hint("shuffle_hash"), "shingle").select("lo", "sig").distinct())
     bits = staged.where("sig is not null").groupBy("sig").agg(F.max("bits").alias("bits"))
-    involved = stage(nodes.join(lists.select("sig").distinct(), "sig").join(bits, "sig").where("rep is not null"))
+    involved = stage(nodes.join(groups.select("sig").distinct(), "sig").join(bits, "sig").where("rep is not null"))
 
-    stars = lists.where("sig <> lo").groupBy("sig").agg(F.array_sort(F.collect_set("lo")).alias("los"))
+    stars = groups.where("sig <> lo").groupBy("sig").agg(F.array_sort(F.collect_set("lo")).alias("los"))
     pairs = stars.select(F.explode(F.slice("los", 1, STARS)).alias("a"), F.col("sig").alias("b"))
     tested = stage(_may_link(pairs, involved, percent))
     links = stage(_search(docs, tested, involved, n, percent))
     labels = stage(connected(links))
     for nearest in (NEAREST, None):
-        more = stage(_across(lists, labels, involved, percent, nearest).distinct().join(tested, ["a", "b"], "left_anti"))
+        more = stage(_across(groups, labels, involved, percent, nearest).distinct().join(tested, ["a", "b"], "left_anti"))
         if not more.isEmpty():
             tested = tested.unionAll(more)
             links = links.unionAll(stage(_search(docs, more, involved, n, percent)))
@@ -322,19 +323,14 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows
 
 
-def _across(lists: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, nearest: int | None) -> DataFrame:
-    """Pairs ``a, b`` of members of one list that are in different classes and may link; of a member, those with the ``nearest`` in a
+def _across(groups: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, nearest: int | None) -> DataFrame:
+    """Pairs ``a, b`` of members of one group that are in different classes and may link; of a member, those with the ``nearest`` in a
     block, if that is a number."""
-    known = lists.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("class", F.coalesce("component", "sig"))
-    hashes = [F.bit_xor(F.xxhash64("sig", F.lit(seed))).alias(f"h{seed}") for seed in (1, 2)]
-    mixed = known.groupBy("shingle").agg(F.min("class").alias("first"), F.max("class").alias("last"), F.count("*").alias("all"), *hashes).where("first <> last")
-    # Of lists with the same members, and so the same smallest member, one is enough.
-    single = mixed.groupBy("h1", "h2", "all").agg(F.min("shingle").alias("shingle")).select("shingle", "all")
-    known = known.join(single, "shingle").select("shingle", "lo", "sig", "class", "all")
-    main = known.where("sig = lo").select("shingle", F.col("class").alias("main"))
-    known = known.join(main, "shingle").withColumn("other", F.col("class") != F.col("main"))
-    others = known.groupBy("shingle").agg(F.count_if("other").alias("others"))
-    known = stage(known.join(others, "shingle"))
+    known = groups.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("class", F.coalesce("component", "sig"))
+    main = known.where("sig = lo").select("lo", F.col("class").alias("main"))
+    known = known.join(main, "lo").withColumn("other", F.col("class") != F.col("main"))
+    counts = known.groupBy("lo").agg(F.count("*").alias("all"), F.count_if("other").alias("others")).where("others > 0")
+    known = stage(known.join(counts, "lo"))
 
     n_main, n_other = F.ceil((F.col("all") - F.col("others")) / BLOCK).cast("int"), F.ceil(F.col("others") / BLOCK).cast("int")
     rows = known.withColumn("n_main", n_main).withColumn("n_other", n_other)
@@ -343,9 +339,9 @@ def _across(lists: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int,
     own = F.when(F.col("other"), F.col("n_main") + F.pmod(place, "n_other")).otherwise(F.pmod(place, "n_main")).cast("int")
     partners = F.sequence(F.when(F.col("other"), 0).otherwise(F.col("n_main")), F.col("n_main") + F.col("n_other") - 1)
     rows = rows.withColumn("own", own).withColumn("partner", F.explode(partners))
-    rows = rows.select("shingle", F.least("own", "partner").alias("i"), F.greatest("own", "partner").alias("j"), "own", "class", "sig")
-    group = ["shingle", "i", "j"]
-    parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select("lo", F.least("own", "partner").alias("i"), F.greatest("own", "partner").alias("j"), "own", "class", "sig")
+    group = ["lo", "i", "j"]
+    parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.join(nodes.select("sig", "size", "bits"), "sig").repartition(parts, *group).sortWithinPartitions(*group, "own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
