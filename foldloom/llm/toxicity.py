@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -143,11 +144,15 @@ def train(
                 found = [x.tobytes() for x in term_buckets(batch.column("text"))]
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column("label")], ["terms", "label"])
 
-    rows = sample.mapInArrow(features, "terms binary, label double").toArrow()
-    terms = [np.frombuffer(x, np.uint32) for x in rows.column("terms").to_pylist()]
-    order = sorted(range(len(terms)), key=lambda i: (terms[i].tobytes(), rows.column("label")[i].as_py()))
-    labels = rows.column("label").to_numpy()[order] if order else np.zeros(0)
-    return fit([terms[i] for i in order], labels)
+    # The terms of all rows stay in one Arrow buffer; rows are views of it, in an order that depends on their values alone.
+    rows = sample.mapInArrow(features, "terms binary, label double").toArrow().combine_chunks()
+    if not rows.num_rows:
+        return fit([], np.zeros(0))
+    order = np.asarray(pc.sort_indices(rows, [("terms", "ascending"), ("label", "ascending")]))
+    column = rows.column("terms").chunk(0).cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] // 4
+    values = np.frombuffer(column.buffers()[2] or b"", np.uint32)
+    return fit([values[offsets[i] : offsets[i + 1]] for i in order.tolist()], rows.column("label").to_numpy()[order])
 
 
 def score(docs: DataFrame, machine: FactorizationMachine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
