@@ -20,6 +20,10 @@ N_FOLDS = 5
 BUCKET_BYTES = 2
 CLASS_PART_DIGITS = 2
 CLASS_PARTS = 16**CLASS_PART_DIGITS
+# Open label sets: finer parts, which hold whole classes of up to CLASS_ROWS rows.
+PLACE_PART_DIGITS = 3
+CLASS_CELL_DIGITS = 4
+CLASS_ROWS = 100_000
 
 
 def _bucket() -> Column:
@@ -68,6 +72,13 @@ def _rows_of_earlier_classes(sizes: DataFrame, outer: Sequence[str], stratum: st
     inside = Window.partitionBy(*outer, "_part").orderBy("_key")
     summed = keyed.withColumn("_within", F.sum("_n").over(inside) - F.col("_n"))
     parts = keyed.groupBy(*outer, "_part").agg(F.sum("_n").alias("_n"))
+    starts = _rows_of_earlier_parts(parts, outer)
+    placed = null_safe_join(summed, starts, [*outer, "_part"])
+    return placed.select(*outer, stratum, (F.col("_start") + F.col("_within")).alias("_offset"))
+
+
+def _rows_of_earlier_parts(parts: DataFrame, outer: Sequence[str]) -> DataFrame:
+    """``_start`` of every part: the rows ``_n`` of the parts before it in its group, of which there are few."""
     lists = parts.groupBy(*outer).agg(F.collect_list(F.struct("_part", "_n")).alias("_parts"))
     if outer:
         listed = null_safe_join(parts, lists, outer)
@@ -75,9 +86,7 @@ def _rows_of_earlier_classes(sizes: DataFrame, outer: Sequence[str], stratum: st
         listed = parts.withColumn("_parts", lists.select("_parts").scalar())
     earlier = F.filter("_parts", lambda p: p["_part"] < F.col("_part"))
     total = F.aggregate(earlier, F.lit(0).cast("bigint"), lambda n, p: n + p["_n"])
-    starts = listed.select(*outer, "_part", total.alias("_start"))
-    placed = null_safe_join(summed, starts, [*outer, "_part"])
-    return placed.select(*outer, stratum, (F.col("_start") + F.col("_within")).alias("_offset"))
+    return listed.select(*outer, "_part", total.alias("_start"))
 
 
 def fold_limits(
@@ -86,13 +95,14 @@ def fold_limits(
     stratum: str | None = None,
     n_folds: int = N_FOLDS,
     fits: bool | None = None,
+    offsets: DataFrame | None = None,
 ) -> DataFrame:
     """The keys ``limit_1 ..`` at which the folds 2 .. n_folds begin, per group and stratum.
 
     Fold sizes come from dealing the places of the whole group out in turn, with the strata one after
     another in the order of a digest of the label. Inside a stratum the counts differ by at most one, and so do the totals.
     Without strata this is the even contiguous split whose first ``n mod n_folds`` folds have one more.
-    A limit is null when no row lies behind it.
+    A limit is null when no row lies behind it. ``offsets`` tells the rows of the strata before each one if ``keys`` are not those of all strata.
     """
     outer = list(within)
     group = outer + ([stratum] if stratum else [])
@@ -102,8 +112,10 @@ def fold_limits(
         "_size", F.sum("_n").over(whole)
     )
     if stratum:
-        sizes = counts.groupBy(*group).agg(F.sum("_n").alias("_n"))
-        runs = null_safe_join(runs, _rows_of_earlier_classes(sizes, outer, stratum), group)
+        if offsets is None:
+            sizes = counts.groupBy(*group).agg(F.sum("_n").alias("_n"))
+            offsets = _rows_of_earlier_classes(sizes, outer, stratum)
+        runs = null_safe_join(runs, offsets, group)
     else:
         runs = runs.withColumn("_offset", F.lit(0).cast("bigint"))
 
@@ -158,17 +170,81 @@ def contiguous_folds(
     return apply_limits(rows, fold_limits(keys, within, None, n_folds, fits), within, n_folds, fits)
 
 
+def _large_classes(labels: DataFrame, outer: Sequence[str], stratum: str) -> DataFrame:
+    """The classes of more than ``CLASS_ROWS`` rows, found by counting the cells of the digest's order first, so that an open label set
+    is not shuffled for it."""
+    celled = labels.withColumn("_cell", F.substring(class_key(F.col(stratum)), 1, CLASS_CELL_DIGITS))
+    cells = celled.groupBy("_cell").agg(F.count("*").alias("_rows")).where(F.col("_rows") > CLASS_ROWS).select("_cell")
+    near = lookup_join(celled, cells, ["_cell"], fits=True)
+    return near.groupBy(*outer, stratum).agg(F.count("*").alias("_n")).where(F.col("_n") > CLASS_ROWS).select(*outer, stratum)
+
+
+def _class_places(rows: DataFrame, outer: Sequence[str], stratum: str, whole: DataFrame | None) -> DataFrame:
+    """Rows with ``_at``, their place in their class, ``_size`` of the class and ``_offset``, the rows of the classes before it.
+
+    Rows are shuffled once, by the parts of the order of classes, and sorted once. ``whole`` has a row with the size ``_rows`` for each class
+    that is counted and not placed; these rows come out as well, marked by ``_whole``.
+    """
+    marked = rows.withColumns({"_rows": F.lit(1).cast("bigint"), "_whole": F.lit(False)})
+    if whole is not None:
+        marked = marked.unionByName(whole.withColumn("_whole", F.lit(True)), allowMissingColumns=True)
+    digest = class_key(F.col(stratum))
+    part = F.conv(F.substring(digest, 1, PLACE_PART_DIGITS), 16, 10).cast("int")
+    keyed = marked.withColumns({"_key": F.unhex(digest), "_part": part})
+    starts = _rows_of_earlier_parts(keyed.groupBy(*outer, "_part").agg(F.sum("_rows").alias("_n")), outer)
+    in_part = Window.partitionBy(*outer, "_part").orderBy("_key", "order_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_class = Window.partitionBy(*outer, "_part", "_key")
+    placed = (
+        keyed.withColumn("_before", F.sum("_rows").over(in_part) - F.col("_rows"))
+        .withColumn("_at", F.row_number().over(in_class.orderBy("order_key")) - 1)
+        .withColumn("_size", F.sum("_rows").over(in_class))
+    )
+    begun = lookup_join(placed, starts, [*outer, "_part"], fits=None if outer else True)
+    return begun.withColumn("_offset", F.col("_start") + F.col("_before") - F.col("_at")).drop("_start", "_before", "_key", "_part")
+
+
+def _open_strata_folds(rows: DataFrame, labels: DataFrame, outer: Sequence[str], stratum: str, n_folds: int) -> DataFrame:
+    """``stratified_folds`` for classes without a bound on their number, which limits by class would outgrow.
+
+    Classes of up to ``CLASS_ROWS`` rows are ranked whole, many to a part. Larger ones, of which there are few, get limits. ``labels`` are
+    those of ``rows`` or more, in which the larger ones are looked for.
+    """
+    group, names = [*outer, stratum], rows.columns
+    large, small, whole, rest = _large_classes(labels, outer, stratum), rows, None, None
+    if not large.isEmpty():
+        fits = fits_broadcast(large)
+        split = lookup_join(rows, large.withColumn("_large", F.lit(True)), group, "left", fits)
+        small, rest = split.where("_large IS NULL").select(*names), split.where("_large").select(*names)
+        whole = rest.groupBy(*group).agg(F.count("*").alias("_rows"))
+    places = _class_places(small, outer, stratum, whole)
+    first, last = F.col("_offset"), F.col("_offset") + F.col("_size")
+    cuts = [_rows_of_first_folds(last, i, n_folds) - _rows_of_first_folds(first, i, n_folds) for i in range(1, n_folds)]
+    fold = sum([F.when(F.col("_at") >= cut, 1).otherwise(0) for cut in cuts], F.lit(1)).cast("int")
+    folded = places.where("NOT _whole").select(*names, fold.alias("fold"))
+    if rest is None:
+        return folded
+    limits = fold_limits(rest.select(*group, "order_key"), outer, stratum, n_folds, fits, places.where("_whole").select(*group, "_offset"))
+    return folded.unionByName(apply_limits(rest, limits, group, n_folds, fits))
+
+
 def stratified_folds(
     rows: DataFrame,
     within: Sequence[str] = (),
     stratum: str = "label",
     n_folds: int = N_FOLDS,
     fits: bool | None = None,
+    labels: DataFrame | None = None,
 ) -> DataFrame:
-    """As ``contiguous_folds``, with every class spread over the folds by itself."""
+    """As ``contiguous_folds``, with every class spread over the folds by itself.
+
+    ``labels`` may be a cheaper table with the groups and labels of ``rows``, or of more rows, to look for large classes in.
+    """
     group = [*within, stratum]
+    labels = rows if labels is None else labels
     if fits is None:
-        fits = fits_broadcast(rows.select(*group).distinct())
+        fits = fits_broadcast(labels.select(*group).distinct())
+    if not fits:
+        return _open_strata_folds(rows, labels.select(*group), within, stratum, n_folds)
     keys = rows.select(*group, "order_key")
     return apply_limits(rows, fold_limits(keys, within, stratum, n_folds, fits), group, n_folds, fits)
 
@@ -192,7 +268,7 @@ def dedup_and_fold(
         fits = fits_broadcast(rows.select(*group).distinct()) if group else True
     survivors = dedup_first(rows, row_id, within)
     if rule == "stratified":
-        return stratified_folds(survivors, within, "label", n_folds, fits)
+        return stratified_folds(survivors, within, "label", n_folds, fits, rows.select(*group))
     keys = rows.select(*within, "order_key").distinct()
     return apply_limits(survivors, fold_limits(keys, within, None, n_folds, fits), within, n_folds, fits)
 

@@ -220,3 +220,24 @@ def test_open_label_sets_have_no_window_over_all_classes(make_rows):
     plan = folded._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in plan.splitlines() if " Window [" in line]
     assert windows and not [line for line in windows if "windowspecdefinition(_" in line and "ORDER" not in line and "ASC" in line.split("windowspecdefinition(")[1].split(",")[0]]
+
+
+def test_open_label_sets_are_not_repeated_for_a_join(make_rows):
+    """Each row is shuffled by its class once: limits of as many classes as rows are not repeated under every salt."""
+    rows = [(i, f"t{i}", f"class {i % 700}") for i in range(1000)]
+    folded = dedup_and_fold(make_rows(rows, 4), "stratified", fits=False)
+    assert folds_of(folded) == brute_stratified(rows)
+    assert "Generate" not in folded._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_classes_among_open_ones(make_rows, monkeypatch):
+    """Large classes get limits and small ones places, in one order of classes."""
+    monkeypatch.setattr("foldloom.operators.folds.CLASS_ROWS", 12)
+    labels = ["big"] * 60 + ["more"] * 31 + ["n"] * 17 + ["", "a", "a"]
+    rows = [(i, f"t{i % 140}", labels[i] if i < len(labels) else f"class {i % 29}") for i in range(170)]
+    assert folds_of(dedup_and_fold(make_rows(rows, 3), "stratified", fits=False)) == brute_stratified(rows)
+    both = [(i, f"{corpus}{text}", f"{corpus}{label}") for corpus in "xy" for i, text, label in rows]
+    grouped = make_rows(both).withColumn("corpus", F.substring("text", 1, 1))
+    folded = dedup_and_fold(grouped, "stratified", within=["corpus"], fits=False)
+    for corpus in "xy":
+        assert folds_of(folded.where(F.col("corpus") == corpus)) == brute_stratified([row for row in both if row[1][0] == corpus])
