@@ -4,7 +4,7 @@ import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from foldloom.operators.folds import N_FOLDS
@@ -59,15 +59,29 @@ def unsorted_write(spark: SparkSession, places: int) -> Iterator[None]:
                 spark.conf.set(_WRITERS, before)
 
 
+def _write_lines(writer: DataFrameWriter, folder: str, compression: str | None) -> None:
+    """JSON lines, plain or compressed. Of a level above the fourth gzip gains 4 % on prose for four times the time."""
+    if compression:
+        writer = writer.option("compression", compression).option("zlib.compress.level", "FOUR")
+    writer.json(folder)
+
+
 def write_pools(
-    folded: DataFrame, root: str, task: str, corpus: str, n_folds: int = N_FOLDS, rebalance: bool = False
+    folded: DataFrame,
+    root: str,
+    task: str,
+    corpus: str,
+    n_folds: int = N_FOLDS,
+    rebalance: bool = False,
+    compression: str | None = None,
 ) -> str:
     """Replace the pools of one corpus by JSON lines under ``k=../split=..``.
 
     The new tree is written next to the old one and takes its place as a whole, so a split or rotation that has become empty
     leaves no old files behind, and a write that fails leaves the old tree. Rows are repeated once per rotation inside the writing
     task, which holds one open file for each pool; they are neither shuffled nor sorted for it. ``rebalance`` first gathers the rows of
-    a fold into tasks of even size, for an input with many small partitions.
+    a fold into tasks of even size, for an input with many small partitions. Pools hold every text ``n_folds`` times: ``compression``, such as
+    ``gzip``, is that of their files, which all readers of this library take.
     """
     rows = folded.select("text", "label", "fold")
     if rebalance:
@@ -76,7 +90,7 @@ def write_pools(
     pools = rotate(rows, n_folds).select("k", "split", "text", "label")
     spark = folded.sparkSession
     with replacement(spark, folder) as new, unsorted_write(spark, len(SPLITS) * n_folds):
-        pools.write.partitionBy("k", "split").json(new)
+        _write_lines(pools.write.partitionBy("k", "split"), new, compression)
     return folder
 
 
@@ -90,11 +104,13 @@ def write_fold_table(folded: DataFrame, root: str, task: str, corpus: str, n_fol
     return folder
 
 
-def write_few_shot_tree(stored: DataFrame, root: str, task: str, corpus: str, n_folds: int = N_FOLDS) -> str:
+def write_few_shot_tree(
+    stored: DataFrame, root: str, task: str, corpus: str, n_folds: int = N_FOLDS, compression: str | None = None
+) -> str:
     """Replace the pools of one corpus by ``few_shot/{kk}/{split}.jsonl``, each of them a folder of lines.
 
     ``stored`` is a fold table read back: every pool is a scan of its folds alone, without shuffle or sort. All pools are written to a
-    sibling folder first, which then takes the place of the old one.
+    sibling folder first, which then takes the place of the old one. ``compression`` is that of the files.
     """
     folder = corpus_folder(root, task, corpus, "few_shot")
     with replacement(stored.sparkSession, folder) as new:
@@ -103,5 +119,5 @@ def write_few_shot_tree(stored: DataFrame, root: str, task: str, corpus: str, n_
             rest = [fold for fold in range(1, n_folds + 1) if fold not in (k, following)]
             for split, folds in (("test", [k]), ("valid", [following]), ("train", rest)):
                 pool = stored.where(F.col("fold").isin(folds)).select("text", "label")
-                pool.write.json(f"{new}/{k:02d}/{split}.jsonl")
+                _write_lines(pool.write, f"{new}/{k:02d}/{split}.jsonl", compression)
     return folder

@@ -123,3 +123,49 @@ def test_a_fold_table_is_replaced(spark, make_rows, tmp_path):
     write_fold_table(dedup_and_fold(make_rows(texts(20))), str(tmp_path), "t", "c")
     folder = write_fold_table(dedup_and_fold(make_rows(texts(7)), n_folds=2), str(tmp_path), "t", "c", n_folds=2)
     assert sorted(r.fold for r in spark.read.parquet(folder).collect()) == [1, 1, 1, 1, 2, 2, 2]
+
+
+def data_files(folder):
+    return [name for _, _, names in os.walk(folder) for name in names if name.startswith("part-")]
+
+
+def test_pools_can_be_compressed(spark, make_rows, tmp_path):
+    folded = dedup_and_fold(make_rows([(i, f"ação {i}", "ab"[i % 2]) for i in range(40)]))
+    write_pools(folded, str(tmp_path / "plain"), "t", "c")
+    write_pools(folded, str(tmp_path / "small"), "t", "c", compression="gzip")
+    write_few_shot_tree(stage(folded), str(tmp_path / "few"), "t", "c", compression="gzip")
+    assert all(name.endswith(".json") for name in data_files(tmp_path / "plain"))
+    assert all(name.endswith(".json.gz") for folder in ("small", "few") for name in data_files(tmp_path / folder))
+    expected = lines(spark, tmp_path / "plain")
+    assert len(expected) == 200
+    assert lines(spark, tmp_path / "small") == expected == lines(spark, tmp_path / "few", "few_shot")
+    assert scan_files(spark, str(tmp_path / "small")).count() == 15 == scan_files(spark, str(tmp_path / "few"), "few_shot").count()
+
+
+@pytest.fixture
+def pools_folder(monkeypatch, tmp_path):
+    from foldloom.queries import files
+
+    monkeypatch.setattr(files, "new_folder", lambda spark: str(tmp_path / "pools"))
+    return files, tmp_path / "pools"
+
+
+@pytest.fixture
+def documents_folder(spark, tmp_path):
+    rows = [(i, f"text {i % 50}", ["en", "fr"][i % 2], f"src{i % 20}") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name, n", [("tree_status", None)])
+def test_queries_compress_their_pools(spark, documents_folder, pools_folder, name, n):
+    files, root = pools_folder
+    result = getattr(files, name)(spark, documents_folder)
+    assert data_files(root) and all(name.endswith(".json.gz") for name in data_files(root))
+    if n is None:
+        assert {(r.task, r.corpus): r.status for r in result.collect()}["raw", "absent"] == "MISSING"
+    elif name == "replaced_pools":
+        rows = result.collect()
+        assert sum(r.n_rows for r in rows) == n and all(r.n_rows == r.n_texts for r in rows)
+    else:
+        assert result.count() == n
