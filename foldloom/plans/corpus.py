@@ -73,6 +73,7 @@ def run_corpus(
     n_folds: int = N_FOLDS,
     layout: str = "hive",
     reports: str | None = None,
+    compression: str | None = None,
 ) -> tuple[tuple, list[tuple]]:
     """Scan, clean, gate, fold and write one corpus; a corpus that fails leaves its old pools alone. Gives the status row and the
     rows of its reports; labels that the vocabulary lacks, which may be many, are written to the folder ``reports``.
@@ -90,11 +91,11 @@ def run_corpus(
             lacking = tagged.where("unmapped IS NOT NULL").groupBy("unmapped").agg(F.count("*").alias("n"))
             names = [F.lit(v).alias(k) for k, v in (("task", spec.task), ("corpus", spec.corpus), ("report", "unmapped"))]
             lacking.select(*names, F.col("unmapped").alias("item"), "n").write.parquet(f"{reports}/{spec.corpus}")
-        return _run_staged(spark, spec, tagged, folder, root, seed, n_folds, layout)
+        return _run_staged(spark, spec, tagged, folder, root, seed, n_folds, layout, compression)
 
 
 def _run_staged(
-    spark: SparkSession, spec: CorpusSpec, tagged: DataFrame, folder: str, root: str, seed: int, n_folds: int, layout: str
+    spark: SparkSession, spec: CorpusSpec, tagged: DataFrame, folder: str, root: str, seed: int, n_folds: int, layout: str, compression: str | None
 ) -> tuple[tuple, list[tuple]]:
     lacks = F.bit_and("lacks") if "lacks" in tagged.columns else F.lit(None).cast("int")
     reasons = tagged.groupBy("reject_reason").agg(F.count("*").alias("n"), lacks.alias("lacks")).collect()
@@ -116,10 +117,10 @@ def _run_staged(
         sizes = [F.count_if(F.col("fold") == fold).alias(str(fold)) for fold in range(1, n_folds + 1)]
         folded = fold_corpus(rows, spec, seed, n_folds).observe(watch, *sizes)
         if layout == "hive":
-            write_pools(folded, root, spec.task, spec.corpus, n_folds)
+            write_pools(folded, root, spec.task, spec.corpus, n_folds, compression=compression)
         else:
             stored = spark.read.parquet(write_fold_table(folded, folder, spec.task, spec.corpus, n_folds))
-            write_few_shot_tree(stored, root, spec.task, spec.corpus, n_folds)
+            write_few_shot_tree(stored, root, spec.task, spec.corpus, n_folds, compression)
         report += size_report(kept, {int(fold): n for fold, n in watch.get.items()})
     return (spec.task, spec.corpus, status, sum(counts.values()), kept, None), [(spec.task, spec.corpus, *row) for row in report]
 
@@ -166,10 +167,11 @@ def run_with_reports(
     n_folds: int = N_FOLDS,
     layout: str = "hive",
     at_once: int = 4,
+    compression: str | None = None,
 ) -> Run:
     """As ``run_corpora``, with the reports of all corpora, which the jobs of the run count on their way."""
     folder = new_folder(spark)
-    results = _run_all(spark, specs, inputs, root, seed, n_folds, layout, at_once, folder)
+    results = _run_all(spark, specs, inputs, root, seed, n_folds, layout, at_once, folder, compression)
     reports = spark.createDataFrame([row for _, report in results for row in report], REPORT)
     written = [f"{folder}/{spec.corpus}" for spec in specs if folder_exists(spark, f"{folder}/{spec.corpus}")]
     if written:
@@ -186,17 +188,18 @@ def run_corpora(
     n_folds: int = N_FOLDS,
     layout: str = "hive",
     at_once: int = 4,
+    compression: str | None = None,
 ) -> DataFrame:
     """Every corpus of the list as jobs of one session, a few at once, and a status row for each.
 
     ``inputs`` is a folder with one folder per corpus, or the paths by corpus name. An exception in one
-    corpus is reported as ERROR, with its whole text in ``detail``, and does not stop the others.
+    corpus is reported as ERROR, with its whole text in ``detail``, and does not stop the others. ``compression`` is that of the pools' files.
     """
-    results = _run_all(spark, specs, inputs, root, seed, n_folds, layout, at_once, None)
+    results = _run_all(spark, specs, inputs, root, seed, n_folds, layout, at_once, None, compression)
     return spark.createDataFrame([status for status, _ in results], STATUS)
 
 
-def _run_all(spark, specs, inputs, root, seed, n_folds, layout, at_once, reports) -> list[tuple[tuple, list[tuple]]]:
+def _run_all(spark, specs, inputs, root, seed, n_folds, layout, at_once, reports, compression) -> list[tuple[tuple, list[tuple]]]:
     def paths(spec: CorpusSpec) -> list[str]:
         if isinstance(inputs, str):
             return [f"{inputs.rstrip('/')}/{spec.corpus}/{name}" for name in spec.files]
@@ -204,7 +207,7 @@ def _run_all(spark, specs, inputs, root, seed, n_folds, layout, at_once, reports
 
     def run(spec: CorpusSpec) -> tuple[tuple, list[tuple]]:
         try:
-            return run_corpus(spark, spec, paths(spec), root, seed, n_folds, layout, reports)
+            return run_corpus(spark, spec, paths(spec), root, seed, n_folds, layout, reports, compression)
         except Exception as error:
             return (spec.task, spec.corpus, "ERROR", 0, 0, f"{type(error).__name__}: {error}"), []
 

@@ -176,3 +176,32 @@ def test_replaced_pools_shuffle_no_texts(spark, documents_folder, pools_folder):
     plan = files.replaced_pools(spark, documents_folder)._jdf.queryExecution().executedPlan().toString()
     keys = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert keys and not [line for line in keys if "text#" in line.replace("sha2(cast(text#", "")]
+
+
+@pytest.mark.parametrize("name, runner", [("corpora_failed", "run_corpora")])
+def test_corpora_queries_ask_for_compressed_pools(spark, pools_folder, monkeypatch, name, runner):
+    files, _ = pools_folder
+    asked = []
+
+    class Ran:
+        reports = None
+
+    monkeypatch.setattr(files, "_write_raw_corpora", lambda *_: None)
+    monkeypatch.setattr(files, "failed_count", lambda status: status)
+    monkeypatch.setattr(files, runner, lambda *args, compression=None: asked.append(compression) or Ran())
+    getattr(files, name)(spark, "none")
+    assert asked == ["gzip"]
+
+
+@pytest.mark.parametrize("layout", ["hive", "few_shot"])
+def test_a_run_writes_compressed_pools(spark, tmp_path, layout):
+    from foldloom.plans.corpus import run_with_reports
+    from foldloom.plans.spec import CorpusSpec, JsonLines
+
+    (tmp_path / "raw" / "c").mkdir(parents=True)
+    (tmp_path / "raw" / "c" / "a.jsonl").write_text("\n".join(f'{{"x": "t{i}", "y": "l"}}' for i in range(20)))
+    spec = CorpusSpec("t", "c", ["a.jsonl"], "x", "y", source=JsonLines())
+    run = run_with_reports(spark, [spec], str(tmp_path / "raw"), str(tmp_path / "out"), layout=layout, compression="gzip")
+    assert [r.status for r in run.status.collect()] == ["OK"]
+    assert all(name.endswith(".json.gz") for name in data_files(tmp_path / "out"))
+    assert len(lines(spark, tmp_path / "out", layout)) == 100
