@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from foldloom.llm.components import connected
 from foldloom.llm.words import mix, shingle_sets, slices
+from foldloom.session import bound_batches
 from foldloom.storage import stage
 
 SKETCH_BITS = 22
@@ -283,6 +284,7 @@ def _may_link(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     staged = stage(_sets(docs, n))
     sets = staged.where("part is null").select("doc_id", "n_shingles", "sig")

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import compress
+from itertools import compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +29,13 @@ from pyspark.sql import functions as F
 
 from foldloom.llm.fm_index import FMIndex
 from foldloom.llm.words import WHITE, gram_hashes, range_hashes, slices, spans, utf8, word_hashes
+from foldloom.session import bound_batches
 from foldloom.storage import stage
 
 ANCHOR = 12
 HOT = 2000
 SHARD_WORDS = 1 << 17
+HELD_WORDS = 1 << 21
 PLACE_BITS = 26
 LONG = pa.int64()
 
@@ -115,9 +117,10 @@ def _segments(rows: DataFrame, window: int) -> DataFrame:
         held: dict[int, list] = {}
         size = 0
 
-        def contents():
-            columns = list(zip(*((k, None, None, *v) for k, v in held.items()), strict=True)) or [[]] * 7
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+        def contents() -> Iterator[pa.RecordBatch]:
+            rest = iter(held.items())
+            while some := [(k, None, None, *v) for k, v in islice(rest, 4096)]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), kinds, strict=True)], names)
 
         for batch in batches:
             found: list[tuple[np.ndarray, int, np.ndarray]] = []
@@ -145,8 +148,8 @@ def _segments(rows: DataFrame, window: int) -> DataFrame:
                     else:
                         held[key] = [own, words[first:end].tobytes(), n, 1]
                         size += end - first
-                if size > 1 << 22:  # 32 MB of words; a segment may then be given more than once
-                    yield contents()
+                if size > HELD_WORDS:  # 16 MB of words; a segment may then be given more than once
+                    yield from contents()
                     held, size = {}, 0
             if found:
                 segment = np.concatenate([f[0] for f in found])
@@ -154,7 +157,7 @@ def _segments(rows: DataFrame, window: int) -> DataFrame:
                 place = np.concatenate([f[2] for f in found])
                 nulls = [pa.nulls(len(segment), t) for t in kinds[3:]]
                 yield pa.RecordBatch.from_arrays([pa.array(segment), pa.array(row), pa.array(place, LONG), *nulls], names)
-        yield contents()
+        yield from contents()
 
     return rows.mapInArrow(run, "segment bigint, row bigint, place bigint, shard bigint, words binary, windows bigint, weight bigint")
 
@@ -201,6 +204,7 @@ def _repeated(contents: DataFrame, window: int) -> DataFrame:
 def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35) -> tuple[DataFrame, DataFrame]:
     """The rows of ``docs`` as ``row, others, text``, with a key and all other columns in one, so that no name can clash; and ``row, marks``
     with the repeated windows of those that have any: ``marks`` holds a ``place`` and a ``mask`` of the windows from there on."""
+    bound_batches(docs.sparkSession)
     others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col))
     keyed = docs.select(F.xxhash64(F.lit(3), id_col, text_col).alias("row"), others.alias("others"), F.col(text_col).alias("text"))
     texts = keyed.select("row", "text")
@@ -265,11 +269,11 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     others = keyed.schema["others"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
-            found = list(_kept(batch, window))
-            digest = [hashlib.sha256((text or "").encode()).hexdigest() for _, _, text in found]
-            arrays = [batch.column("others"), *(pa.array([f[i] for f in found], LONG) for i in (0, 1)), pa.array(digest, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, ["others", "n_words", "n_removed", "kept_sha256"])
+        for whole in batches:
+            for batch in slices(whole, "size"):
+                found = [(n, removed, hashlib.sha256((text or "").encode()).hexdigest()) for n, removed, text in _kept(batch, window)]
+                arrays = [batch.column("others"), *(pa.array([f[i] for f in found], t) for i, t in enumerate((LONG, LONG, pa.string())))]
+                yield pa.RecordBatch.from_arrays(arrays, ["others", "n_words", "n_removed", "kept_sha256"])
 
     counted = rows.mapInArrow(run, f"others {others}, n_words bigint, n_removed bigint, kept_sha256 string")
     return counted.select("others.*", "n_words", "n_removed", "kept_sha256")
@@ -283,12 +287,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches):
         codec = pa.Codec("zstd")
-        for batch in batches:
-            texts = []
-            columns = (batch.column(c).to_pylist() for c in ("size", "packed"))
-            for (_, removed, text), size, packed in zip(_kept(batch, window), *columns, strict=True):
-                texts.append(text if removed or packed is None else codec.decompress(packed, size, asbytes=True).decode())
-            yield pa.RecordBatch.from_arrays([batch.column("others"), pa.array(texts, pa.string())], ["others", "text"])
+        for whole in batches:
+            for batch in slices(whole, "size"):
+                texts = []
+                columns = (batch.column(c).to_pylist() for c in ("size", "packed"))
+                for (_, removed, text), size, packed in zip(_kept(batch, window), *columns, strict=True):
+                    texts.append(text if removed or packed is None else codec.decompress(packed, size, asbytes=True).decode())
+                yield pa.RecordBatch.from_arrays([batch.column("others"), pa.array(texts, pa.string())], ["others", "text"])
 
     cleaned = rows.mapInArrow(run, f"others {others}, text string")
     return cleaned.select(*(F.col("text").alias(c) if c == text_col else F.col(f"others.`{c}`") for c in docs.columns))

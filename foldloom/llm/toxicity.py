@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldloom.llm.words import NON_TERM, lowered, slices, spans, utf8, word_hashes
+from foldloom.session import bound_batches
 
 BITS = 22
 PREFIX = 6
@@ -132,6 +133,7 @@ def train(
 ) -> FactorizationMachine:
     """Fit on at most ``max_rows`` label rows, the same ones under any partitioning. Their ids are few enough to
     broadcast, so the texts are found by a scan without a shuffle."""
+    bound_batches(docs.sparkSession)
     usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
     usable = usable.where(F.col("id").isNotNull() & F.col("label").isin(0.0, 1.0))
     chosen = usable.orderBy(F.xxhash64("id"), "id", "label").limit(max_rows)
@@ -158,6 +160,7 @@ def train(
 def score(docs: DataFrame, machine: FactorizationMachine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, score, predicted`` for every row."""
     id_type = docs.schema[id_col].dataType.simpleString()
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
     def run(batches):
@@ -179,6 +182,7 @@ def score(docs: DataFrame, machine: FactorizationMachine, id_col: str = "doc_id"
 
 def keep_clean(docs: DataFrame, machine: FactorizationMachine, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all columns, that are not predicted to be toxic."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
     def run(batches):

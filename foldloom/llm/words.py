@@ -20,7 +20,7 @@ NON_TERM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x8
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C55
 _MASK = (1 << 64) - 1
 
@@ -38,7 +38,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64))
 
 
-@lru_cache(1)
+@lru_cache(2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     both = []
     for base in (_BASE, pow(_BASE, -1, 1 << 64)):
@@ -49,9 +49,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``limit`` bytes of text each; a longer text is a part of its own."""
+    """Parts of a batch with about ``limit`` bytes of text each; a longer text is a part of its own. The column holds the texts or their sizes."""
     texts = batch.column(column)
-    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)))
+    sizes = texts if pa.types.is_integer(texts.type) else pc.binary_length(texts)
+    ends = np.cumsum(np.asarray(pc.fill_null(sizes, 0)))
     start = 0
     while start < batch.num_rows:
         floor = ends[start - 1] if start else 0

@@ -5,6 +5,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 2 << 20
+
 
 def local_session(cpus: int | str | None = None) -> SparkSession:
     cpus = cpus or os.environ.get("BENCH_CPUS") or 8
@@ -30,3 +33,10 @@ def local_scratch(spark: SparkSession) -> str | None:
         folder = tempfile.mkdtemp(prefix="foldloom-")
         spark.conf.set("foldloom.scratch", folder)
     return folder
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches of the session, which the JVM holds twice outside its heap for each task and Python once more, end after
+    ``BATCH_BYTES`` and not after 10,000 whole texts or 64 MB. A limit that the session has set itself stays."""
+    if _BATCH not in spark.conf.getAll:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))

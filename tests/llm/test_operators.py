@@ -6,14 +6,16 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from foldloom.llm import components, decontamination, fingerprints, language, licenses, mixing, ngram_join, quality, substring_dedup, toxicity, warc
+from foldloom.llm import components, decontamination, fingerprints, language, licenses, mixing, ngram_join, quality, substring_dedup, toxicity, warc, words
 from foldloom.llm.components import connected
 from foldloom.llm.fm_index import FMIndex
 
@@ -210,6 +212,45 @@ def test_windows_of_hot_anchors_are_dealt_out_alone(docs, monkeypatch):
     assert sorted(map(tuple, substring_dedup.digests(docs).collect()), key=str) == want
 
 
+def test_texts_go_to_python_in_small_batches(spark):
+    session = spark.newSession()
+    rng = random.Random(8)
+    passage = prose(rng, 50)
+    own = [(f"{prose(rng, 400)} before{i}", f"after{i} {prose(rng, 500)}") for i in range(900)]
+    texts = [f"{a} {passage} {b}" if i % 3 == 0 else f"{a}  {b}" for i, (a, b) in enumerate(own)]
+    docs = session.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    got = {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs).collect()}
+    assert got == {i: f"{a} {b}" if i % 3 == 0 else texts[i] for i, (a, b) in enumerate(own)}
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [sum(map(len, batch.column("text").to_pylist()))]})
+
+    found = docs.mapInArrow(sizes, "n bigint, size bigint").collect()
+    assert sum(r.n for r in found) == 900 and sum(r.size for r in found) > 3 << 20
+    assert max(r.size for r in found) < 2.1 * (1 << 20)
+
+    own_limit = spark.newSession()
+    own_limit.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "9m")
+    substring_dedup.remove_repeats(own_limit.createDataFrame([(1, "a")], "doc_id bigint, text string"))
+    assert own_limit.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "9m"
+
+
+def test_hashing_of_a_batch_takes_little_memory():
+    batch = pa.RecordBatch.from_pydict({"text": [prose(random.Random(i), 1000) for i in range(1000)]})
+    words._powers.cache_clear()
+    tracemalloc.start()
+    try:
+        for part in words.slices(batch, "text"):
+            data, offsets = words.utf8(part.column("text"))
+            starts, stops, firsts = words.spans(data, offsets, words.WHITE)
+            substring_dedup.runs(words.word_hashes(data, starts, stops), firsts, 35)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40 << 20
+
+
 def test_fm_index_counts_all_occurrences():
     rng = np.random.default_rng(2)
     pieces = [rng.integers(0, 3, rng.integers(6, 30)).astype(np.uint64) for _ in range(40)]
